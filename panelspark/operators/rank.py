@@ -37,13 +37,20 @@ def winner(
     return top_per_group(totals, keys, [F.desc_nulls_last(total), F.asc(candidate)])
 
 
-def distribution(df: DataFrame, label: str, by: Sequence[str] = (), digits: int = 4) -> DataFrame:
-    """Count and percentage of every label, per ``by`` group.
+def _label_counts(df: DataFrame, label: str, by: Sequence[str], weight: str | None) -> DataFrame:
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return df.groupBy(*by, label).agg(rows.alias("n"))
+
+
+def distribution(
+    df: DataFrame, label: str, by: Sequence[str] = (), digits: int = 4, weight: str | None = None
+) -> DataFrame:
+    """Count and percentage of every label, per ``by`` group; ``weight`` holds counts of pre-aggregated rows.
 
     The raw rows are only counted; totals come from the counts, so no group of rows
     ever meets in one task.
     """
-    counts = df.groupBy(*by, label).agg(F.count(F.lit(1)).alias("n"))
+    counts = _label_counts(df, label, by, weight)
     if by:
         totals = counts.groupBy(*by).agg(F.sum("n").alias("n_rows"))
         joined = counts.join(totals, list(by))
@@ -53,9 +60,11 @@ def distribution(df: DataFrame, label: str, by: Sequence[str] = (), digits: int
     return joined.withColumn("pct", F.round(F.col("n") * 100.0 / F.col("n_rows"), digits))
 
 
-def majority(df: DataFrame, label: str, by: Sequence[str] = (), digits: int = 4) -> DataFrame:
+def majority(
+    df: DataFrame, label: str, by: Sequence[str] = (), digits: int = 4, weight: str | None = None
+) -> DataFrame:
     """Most frequent label per group with its count and share; ties go to the smallest label."""
-    counts = df.groupBy(*by, label).agg(F.count(F.lit(1)).alias("n"))
+    counts = _label_counts(df, label, by, weight)
     picked = counts.groupBy(*by).agg(
         F.min_by(label, F.struct(-F.col("n"), F.col(label))).alias(label),
         F.max("n").alias("n"),

@@ -145,11 +145,9 @@ def map_lookup_join(spark, sf):
 )
 def predict_year_filter(spark, sf):
     from panelspark.ml.predict import keep_chosen_years
-    from panelspark.queries.base import orders_by_customer
+    from panelspark.queries.base import customer_orders
 
-    keyed = orders_by_customer(spark, sf).select(
-        text.panel_key("year", text.pad_code(F.col("unit").cast("string"))).alias("panel_key")
-    )
-    counted = keyed.groupBy("panel_key").agg(F.count(F.lit(1)).alias("n_orders"))
+    key = text.panel_key("year", text.pad_code(F.col("unit").cast("string")))
+    counted = customer_orders(spark, sf).groupBy(key.alias("panel_key")).agg(F.sum("n").alias("n_orders"))
     chosen = keep_chosen_years(counted, "panel_key", [1996, 1999], valid=range(1995, 2002), labelled={1997, 2000})
     return chosen.select("panel_key", text.panel_key_year("panel_key").cast("bigint").alias("year"), "n_orders")

@@ -8,7 +8,7 @@ from panelspark.functions.numbers import deflate
 from panelspark.operators.lookup import add_missing_units, fan_out, rows_with_match
 from panelspark.operators.quality import duplicate_keys, missing_values, orphan_keys
 from panelspark.operators.rank import distinct_rows, upsert_latest
-from panelspark.queries.base import big, nations, orders_by_customer
+from panelspark.queries.base import big, customer_orders, hundredths, nations, total_price
 from panelspark.queries.registry import query
 from panelspark.tables import table
 
@@ -17,18 +17,18 @@ from panelspark.tables import table
     "derive_real_value",
     """WITH v AS (SELECT year(o_orderdate) AS year, c_nationkey AS unit, round(sum(o_totalprice), 2) AS amount
         FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
-      r AS (SELECT year(l_shipdate) AS year, round(avg(l_discount) * 100, 2) AS rate FROM lineitem
+      r AS (SELECT year(l_shipdate) AS year, round(avg(CAST(round(l_discount * 100) AS BIGINT)), 2) AS rate FROM lineitem
         WHERE year(l_shipdate) <> 1997 GROUP BY 1)
     SELECT year, unit::BIGINT AS unit, amount, rate, round(amount / (1 + rate / 100), 2) AS real_amount
     FROM v LEFT JOIN r USING (year)""",
 )
 def derive_real_value(spark, sf):
     """Amounts deflated by a national yearly rate; the rate is rounded before it divides."""
-    amounts = orders_by_customer(spark, sf).groupBy("year", "unit").agg(F.round(F.sum("o_totalprice"), 2).alias("amount"))
+    amounts = customer_orders(spark, sf).groupBy("year", "unit").agg(total_price().alias("amount"))
     rates = (
         table(spark, sf, "lineitem")
         .groupBy(F.year("l_shipdate").alias("year"))
-        .agg(F.round(F.avg("l_discount") * 100, 2).alias("rate"))
+        .agg(F.round(F.avg(hundredths("l_discount")), 2).alias("rate"))
         .filter(F.col("year") != 1997)
     )
     joined = amounts.join(rates, "year", "left")
@@ -43,8 +43,8 @@ def derive_real_value(spark, sf):
 )
 def join_region_fanout(spark, sf):
     units = nations(spark, sf).select("unit", "region_id")
-    per_unit = orders_by_customer(spark, sf).groupBy("unit", "year").agg(F.sum("o_totalprice").alias("part"))
-    regional = per_unit.join(units, "unit").groupBy("region_id", "year").agg(F.round(F.sum("part"), 2).alias("total"))
+    per_unit = customer_orders(spark, sf).groupBy("unit", "year").agg(F.sum("cents").alias("cents"))
+    regional = per_unit.join(units, "unit").groupBy("region_id", "year").agg(total_price().alias("total"))
     return fan_out(regional, units, "region_id").select(big("unit"), big("year"), "total")
 
 

@@ -6,18 +6,21 @@ two per region and year, one per year.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from panelspark.functions.text import pad_code, upper_name
 from panelspark.operators.lookup import map_values
-from panelspark.plans.panel import NATION, REGION, Measure, build_panel
+from panelspark.operators.rank import winner
+from panelspark.plans.panel import NATION, REGION, UNIT, Measure, build_panel
 from panelspark.plans.star import Dimension, analysis_set, build_fact, conform, surrogate_id
-from panelspark.queries.base import WINNERS, nations, orders_by_customer
+from panelspark.queries.base import WINNERS, line_facts, mean_price, nations, order_facts, total_price
 from panelspark.queries.registry import query
-from panelspark.queries.winners import LABEL_IDS, SEGMENT_LABELS, votes_won
-from panelspark.tables import table
+from panelspark.queries.winners import LABEL_IDS, SEGMENT_LABELS
+from panelspark.tables import settle_all
 
 FIRST, LAST = 1995, 2001
 # The units reported on (all but 00 and 20) and the years that have a label.
@@ -33,60 +36,50 @@ def _code(column: str):
     return pad_code(F.col(column).cast("string"))
 
 
-def politics(spark, sf):
-    won = votes_won(spark, sf).filter(F.col("year").isin(LABELLED_YEARS))
-    label = map_values(map_values(upper_name("candidate"), SEGMENT_LABELS), LABEL_IDS)
-    return won.select("year", _code("unit").alias("unit"), "candidate", label.alias("label"))
-
-
-def _shipped(spark, sf):
-    """Lines counted and summed per supplier and year before they meet the supplier table."""
-    lines = table(spark, sf, "lineitem").select(
-        F.col("l_suppkey").alias("s_suppkey"), F.year("l_shipdate").alias("year"), "l_returnflag", "l_quantity"
-    )
-    per_supplier = lines.groupBy("s_suppkey", "year").agg(
-        F.count_if(F.col("l_returnflag") == "R").alias("n_returned"), F.sum("l_quantity").alias("quantity")
-    )
-    supplier = table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("unit"))
-    return per_supplier.join(supplier, "s_suppkey")
-
+@dataclass(frozen=True)
+class Domains:
+    """The eight sources, derived from two tables that are computed once and settled."""
 
-def security(spark, sf):
-    rows = _shipped(spark, sf).filter(F.col("year") >= 1996).groupBy("year", "unit").agg(F.sum("n_returned").alias("n"))
-    return rows.filter(F.col("n") > 0).select("year", _code("unit").alias("unit"), "n")
+    orders: DataFrame
+    lines: DataFrame
+    places: DataFrame
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf: str) -> Domains:
+        facts = settle_all({"orders": order_facts(spark, sf), "lines": line_facts(spark, sf)})
+        return cls(facts["orders"], facts["lines"], nations(spark, sf).select("unit", "region_id"))
 
-def health(spark, sf):
-    rows = orders_by_customer(spark, sf).groupBy("year", "unit").agg(F.round(F.avg("o_totalprice"), 6).alias("value"))
-    return rows.select("year", _code("unit").alias("unit"), "value")
+    def politics(self):
+        won = winner(self.orders, ["year", "unit"], "candidate", "cents", "total")
+        label = map_values(map_values(upper_name("candidate"), SEGMENT_LABELS), LABEL_IDS)
+        won = won.filter(F.col("year").isin(LABELLED_YEARS))
+        return won.select("year", _code("unit").alias("unit"), "candidate", label.alias("label"))
 
+    def security(self):
+        rows = self.lines.filter((F.col("year") >= 1996) & (F.col("n_returned") > 0))
+        return rows.select("year", _code("unit").alias("unit"), F.col("n_returned").alias("n"))
 
-def economy(spark, sf):
-    per_unit = orders_by_customer(spark, sf).groupBy("year", "unit").agg(F.sum("o_totalprice").alias("part"))
-    located = per_unit.join(nations(spark, sf), "unit")
-    return located.groupBy("year", F.col("region_id").alias("region")).agg(F.round(F.sum("part"), 2).alias("value"))
+    def health(self):
+        return self.orders.groupBy("year", _code("unit").alias("unit")).agg(mean_price().alias("value"))
 
+    def economy(self):
+        located = self.orders.join(self.places, "unit").groupBy("year", F.col("region_id").alias("region"))
+        return located.agg(total_price().alias("value"))
 
-def environment(spark, sf):
-    per_unit = _shipped(spark, sf).groupBy("year", "unit").agg(F.sum("quantity").alias("part"))
-    located = per_unit.join(nations(spark, sf), "unit").filter((F.col("region_id") != 3) | (F.col("year") > 1997))
-    return located.groupBy("year", F.col("region_id").alias("region")).agg(F.sum("part").alias("value"))
+    def environment(self):
+        located = self.lines.join(self.places, "unit").filter((F.col("region_id") != 3) | (F.col("year") > 1997))
+        return located.groupBy("year", F.col("region_id").alias("region")).agg(F.sum("quantity").alias("value"))
 
+    def education(self):
+        counted = self.orders.groupBy("year", _code("unit").alias("unit")).agg(F.sum("n_urgent").alias("n"))
+        return counted.filter(F.col("n") > 0)
 
-def education(spark, sf):
-    rows = orders_by_customer(spark, sf).filter(F.col("o_orderpriority") == "1-URGENT")
-    counted = rows.groupBy("year", "unit").agg(F.count(F.lit(1)).alias("n"))
-    return counted.select("year", _code("unit").alias("unit"), "n")
+    def demography(self):
+        return self.orders.groupBy("year", _code("unit").alias("unit")).agg(F.sum("n_customers").alias("n"))
 
-
-def demography(spark, sf):
-    customers = orders_by_customer(spark, sf).groupBy("year", "unit").agg(F.count_distinct("o_custkey").alias("n"))
-    return customers.select("year", _code("unit").alias("unit"), "n")
-
-
-def technology(spark, sf):
-    lines = table(spark, sf, "lineitem").groupBy(F.year("l_shipdate").alias("year"))
-    return lines.agg(F.round(F.avg("l_discount") * 100, 6).alias("value"))
+    def technology(self):
+        rate = F.sum("discount_pct") / F.sum("n_lines")
+        return self.lines.groupBy("year").agg(rate.alias("value"))
 
 
 # The same eight measures in SQL.
@@ -99,7 +92,7 @@ DOMAINS = WINNERS + """,
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
     WHERE l_returnflag = 'R' AND year(l_shipdate) >= 1996 GROUP BY 1, 2),
   sat AS (SELECT year(o_orderdate) AS year, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS unit,
-      round(avg(o_totalprice), 6) AS value FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+      sum(CAST(round(o_totalprice * 100) AS BIGINT)) / (100.0 * count(*)) AS value FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
   soc AS (SELECT year(o_orderdate) AS year, n_regionkey AS region, round(sum(o_totalprice), 2) AS value
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2),
   env AS (SELECT year(l_shipdate) AS year, n_regionkey AS region, sum(l_quantity) AS value
@@ -109,7 +102,7 @@ DOMAINS = WINNERS + """,
     FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '1-URGENT' GROUP BY 1, 2),
   dem AS (SELECT year(o_orderdate) AS year, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS unit,
       count(DISTINCT o_custkey) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
-  tec AS (SELECT year(l_shipdate) AS year, round(avg(l_discount) * 100, 6) AS value FROM lineitem GROUP BY 1),
+  tec AS (SELECT year(l_shipdate) AS year, avg(CAST(round(l_discount * 100) AS BIGINT)) AS value FROM lineitem GROUP BY 1),
   units AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS unit, n_regionkey AS region FROM nation
     WHERE n_nationkey NOT IN (0, 20))"""
 
@@ -131,15 +124,16 @@ DOMAINS = WINNERS + """,
     WHERE year BETWEEN 1995 AND 2001 AND unit IN (SELECT unit FROM units)""",
 )
 def panel_consolidated(spark, sf):
+    d = Domains.of(spark, sf)
     measures = [
-        Measure("politics", politics(spark, sf), "label"),
-        Measure("security", security(spark, sf), "n"),
-        Measure("socio_economy", economy(spark, sf), "value", REGION),
-        Measure("health", health(spark, sf), "value"),
-        Measure("environment", environment(spark, sf), "value", REGION),
-        Measure("education", education(spark, sf), "n", optional=True),
-        Measure("demography", demography(spark, sf), "n"),
-        Measure("technology", technology(spark, sf), "value", NATION),
+        Measure("politics", d.politics(), "label"),
+        Measure("security", d.security(), "n"),
+        Measure("socio_economy", d.economy(), "value", REGION),
+        Measure("health", d.health(), "value"),
+        Measure("environment", d.environment(), "value", REGION),
+        Measure("education", d.education(), "n", optional=True),
+        Measure("demography", d.demography(), "n"),
+        Measure("technology", d.technology(), "value", NATION),
     ]
     panel = build_panel(measures, unit_regions(spark, sf), FIRST, LAST, UNITS).drop("year", "unit")
     return panel.withColumn("politics", F.col("politics").cast("bigint")).orderBy("panel_key")
@@ -185,29 +179,27 @@ DIM_YEAR_VALUE = StructType(
 
 def dimensions(spark: SparkSession, sf: str) -> list[Dimension]:
     """The eight conformed dimensions with their ids and the attributes that models use."""
+    d = Domains.of(spark, sf)
 
-    def unit_dim(name, source, mapping, target, attributes):
-        return Dimension(
-            name, surrogate_id(conform(source, mapping, target), "year", ["unit"]), attributes=attributes
-        )
-
-    def region_dim(name, source, attribute):
-        rows = conform(source, {"value": "amount"}, DIM_REGION_VALUE)
-        return Dimension(name, surrogate_id(rows, "year", ["region"]), REGION, attributes={"amount": attribute})
-
-    years = conform(technology(spark, sf), {"value": "amount"}, DIM_YEAR_VALUE)
     count, amount = {"n": "N_Total"}, {"value": "amount"}
-    return [
-        unit_dim("politics", politics(spark, sf), {"label": "party_label"}, DIM_POLITICS, {"party_label": "politics"}),
-        unit_dim("security", security(spark, sf), count, DIM_COUNT, {"n_total": "security"}),
-        region_dim("socio_economy", economy(spark, sf), "socio_economy"),
-        unit_dim("health", health(spark, sf), amount, DIM_UNIT_VALUE, {"amount": "health"}),
-        region_dim("environment", environment(spark, sf), "environment"),
-        unit_dim("education", education(spark, sf), count, DIM_COUNT, {"n_total": "education"}),
-        unit_dim("demography", demography(spark, sf), count, DIM_COUNT, {"n_total": "demography"}),
-        # One row per year: numbered by the year itself.
-        Dimension("technology", years.withColumn("id", F.col("year") - 1900), NATION, attributes={"amount": "technology"}),
+    # Name, source, mapping, target schema, level, attribute used by models.
+    specs = [
+        ("politics", d.politics(), {"label": "party_label"}, DIM_POLITICS, UNIT, "party_label"),
+        ("security", d.security(), count, DIM_COUNT, UNIT, "n_total"),
+        ("socio_economy", d.economy(), amount, DIM_REGION_VALUE, REGION, "amount"),
+        ("health", d.health(), amount, DIM_UNIT_VALUE, UNIT, "amount"),
+        ("environment", d.environment(), amount, DIM_REGION_VALUE, REGION, "amount"),
+        ("education", d.education(), count, DIM_COUNT, UNIT, "n_total"),
+        ("demography", d.demography(), count, DIM_COUNT, UNIT, "n_total"),
+        ("technology", d.technology(), amount, DIM_YEAR_VALUE, NATION, "amount"),
     ]
+    rest = {UNIT: ["unit"], REGION: ["region"], NATION: ["year"]}
+    numbered = {
+        name: surrogate_id(conform(source, mapping, target), "year", rest[level])
+        for name, source, mapping, target, level, _ in specs
+    }
+    tables = settle_all(numbered)
+    return [Dimension(name, tables[name], level, attributes={used: name}) for name, _, _, _, level, used in specs]
 
 
 def units_reported(spark: SparkSession, sf: str) -> DataFrame:
@@ -222,7 +214,7 @@ DIMS = DOMAINS + """,
   d_env AS (SELECT *, row_number() OVER (ORDER BY year, region) AS id FROM env),
   d_edu AS (SELECT *, row_number() OVER (ORDER BY year, unit) AS id FROM edu),
   d_dem AS (SELECT *, row_number() OVER (ORDER BY year, unit) AS id FROM dem),
-  d_tec AS (SELECT *, year - 1900 AS id FROM tec)"""
+  d_tec AS (SELECT *, row_number() OVER (ORDER BY year) AS id FROM tec)"""
 
 FACT = DIMS + """,
   fact AS (
@@ -252,7 +244,7 @@ _DIM_JOINS = """JOIN d_sec ON security_id = d_sec.id JOIN d_soc ON socio_economy
     f"WITH {DIMS} SELECT id, year, unit, candidate, label::BIGINT AS party_label FROM d_pol",
 )
 def star_dim_conform(spark, sf):
-    rows = conform(politics(spark, sf), {"label": "PARTY_LABEL", "candidate": "Candidate"}, DIM_POLITICS)
+    rows = conform(Domains.of(spark, sf).politics(), {"label": "PARTY_LABEL", "candidate": "Candidate"}, DIM_POLITICS)
     numbered = surrogate_id(rows, "year", ["unit"])
     return numbered.select(
         "id", F.col("year").cast("bigint"), "unit", "candidate", F.col("party_label").cast("bigint")
@@ -261,8 +253,7 @@ def star_dim_conform(spark, sf):
 
 @query("star_fact", f"WITH {FACT} SELECT * FROM fact")
 def star_fact(spark, sf):
-    fact = build_fact(dimensions(spark, sf), units_reported(spark, sf), FIRST, LAST)
-    return fact.withColumn("technology_id", F.col("technology_id").cast("bigint"))
+    return build_fact(dimensions(spark, sf), units_reported(spark, sf), FIRST, LAST)
 
 
 def labelled_rows(spark: SparkSession, sf: str, labelled: bool) -> DataFrame:

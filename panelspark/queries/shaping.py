@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from panelspark.functions.numbers import mean_of_two
 from panelspark.operators.impute import ols_fill
 from panelspark.operators.reshape import add_baseline, densify, month_columns_to_years, to_long, to_wide
-from panelspark.queries.base import FIRST_YEAR, LAST_YEAR, SERIES, big, orders_by_customer, unit_year_average
+from panelspark.queries.base import FIRST_YEAR, LAST_YEAR, SERIES, big, customer_orders, mean_price, total_price, unit_year_average
 from panelspark.queries.registry import query
 from panelspark.tables import table
 
@@ -25,11 +25,9 @@ YEARS = [str(y) for y in range(FIRST_YEAR, LAST_YEAR + 1)]
 )
 def unpivot_years(spark, sf):
     """Wide table with a column per year, then back to one row per (unit, year) with its gaps."""
-    rows = orders_by_customer(spark, sf).filter(
-        (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P") & (F.col("candidate") == "BUILDING")
-    )
+    rows = customer_orders(spark, sf, where=_is_urgent()).filter(F.col("candidate") == "BUILDING")
     labelled = rows.withColumn("year", F.col("year").cast("string"))
-    wide = to_wide(labelled, ["unit"], "year", YEARS, F.round(F.sum("o_totalprice"), 2))
+    wide = to_wide(labelled, ["unit"], "year", YEARS, total_price())
     long = to_long(wide, ["unit"], YEARS, "year", "value")
     return long.select(big("unit"), big("year"), "value")
 
@@ -57,31 +55,37 @@ def unpivot_month_year(spark, sf):
 @query(
     "pivot_mean",
     """WITH p AS (SELECT c_nationkey AS unit, year(o_orderdate) AS year, c_mktsegment AS segment,
-        avg(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS f,
-        avg(CASE WHEN o_orderstatus = 'O' THEN o_totalprice END) AS o
+        sum(CASE WHEN o_orderstatus = 'F' THEN CAST(round(o_totalprice * 100) AS BIGINT) END)
+          / (100.0 * count(*) FILTER (o_orderstatus = 'F')) AS f,
+        sum(CASE WHEN o_orderstatus = 'O' THEN CAST(round(o_totalprice * 100) AS BIGINT) END)
+          / (100.0 * count(*) FILTER (o_orderstatus = 'O')) AS o
       FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '1-URGENT' GROUP BY 1, 2, 3)
-    SELECT unit::BIGINT AS unit, year, segment, round(f, 4) AS avg_f, round(o, 4) AS avg_o,
-      round((f + o) / 2, 3) AS mean_value FROM p""",
+    SELECT unit::BIGINT AS unit, year, segment, f AS avg_f, o AS avg_o,
+      round((f + o) / 2, 8) AS mean_value FROM p""",
 )
 def pivot_mean(spark, sf):
-    rows = orders_by_customer(spark, sf).filter(F.col("o_orderpriority") == "1-URGENT")
+    rows = customer_orders(spark, sf, by=["o_orderstatus"], where=F.col("o_orderpriority") == "1-URGENT")
     wide = to_wide(
         rows.withColumnRenamed("candidate", "segment"),
         ["unit", "year", "segment"],
         "o_orderstatus",
         ["F", "O"],
-        F.avg("o_totalprice"),
+        mean_price(),
     )
     return wide.select(
         big("unit"),
         big("year"),
         "segment",
-        F.round("F", 4).alias("avg_f"),
-        F.round("O", 4).alias("avg_o"),
-        mean_of_two("F", "O", 3).alias("mean_value"),
+        F.col("F").alias("avg_f"),
+        F.col("O").alias("avg_o"),
+        mean_of_two("F", "O", 8).alias("mean_value"),
     )
 
 
+def _is_urgent():
+    return (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")
+
+
 _URGENT = """c AS (SELECT c_nationkey AS unit, c_mktsegment AS segment, year(o_orderdate) AS year, count(*) AS n_urgent,
       round(sum(o_totalprice), 2) AS value FROM orders JOIN customer ON o_custkey = c_custkey
       WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P' GROUP BY 1, 2, 3),
@@ -89,9 +93,9 @@ _URGENT = """c AS (SELECT c_nationkey AS unit, c_mktsegment AS segment, year(o_o
 
 
 def _urgent(spark, sf):
-    rows = orders_by_customer(spark, sf).filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P"))
+    rows = customer_orders(spark, sf, where=_is_urgent())
     counted = rows.groupBy("unit", F.col("candidate").alias("segment"), "year").agg(
-        F.count(F.lit(1)).alias("n_urgent"), F.round(F.sum("o_totalprice"), 2).alias("value")
+        F.sum("n").alias("n_urgent"), total_price().alias("value")
     )
     customer = table(spark, sf, "customer")
     units = customer.select(F.col("c_nationkey").alias("unit"), F.col("c_mktsegment").alias("segment"))
@@ -134,7 +138,7 @@ def densify_keep_outside(spark, sf):
     UNION ALL SELECT DISTINCT unit::BIGINT, 1994, 0.0::DOUBLE FROM v""",
 )
 def impute_baseline(spark, sf):
-    sums = orders_by_customer(spark, sf).groupBy("unit", "year").agg(F.round(F.sum("o_totalprice"), 2).alias("value"))
+    sums = customer_orders(spark, sf).groupBy("unit", "year").agg(total_price().alias("value"))
     return add_baseline(sums, ["unit"], "year", 1994, {"value": 0.0}).select(big("unit"), big("year"), "value")
 
 
@@ -156,12 +160,12 @@ def _hidden(spark, sf):
 @query(
     "impute_ols_trunc",
     f"""{_FILLED} SELECT unit::BIGINT AS unit, year, value IS NULL AS filled,
-      CASE WHEN value IS NULL THEN trunc(predicted) ELSE round(value, 4) END AS value FROM f""",
+      CASE WHEN value IS NULL THEN trunc(predicted) ELSE value END AS value FROM f""",
 )
 def impute_ols_trunc(spark, sf):
     gaps = _hidden(spark, sf).withColumn("filled", F.col("value").isNull())
     full = ols_fill(gaps, ["unit"], "year", "value", post="trunc")
-    return full.select(big("unit"), big("year"), "filled", F.round("value", 4).alias("value"))
+    return full.select(big("unit"), big("year"), "filled", "value")
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelspark.functions.numbers import flag, percent_of
 from panelspark.operators.lookup import map_values
 from panelspark.operators.rank import distribution, majority, top_per_group, total_by, winner
-from panelspark.queries.base import VOTES, WINNERS, big, nations, orders_by_customer, regions
+from panelspark.queries.base import VOTES, WINNERS, big, customer_orders, hundredths, nations, regions
 from panelspark.queries.registry import query
 from panelspark.tables import table
 
@@ -25,7 +25,8 @@ LABEL_IDS = {"Construction": 1, "Home": 2, "Industry": 3, "Transport": 4}
 
 def votes_won(spark: SparkSession, sf: str) -> DataFrame:
     """(year, unit, candidate, total) of the winning segment."""
-    return winner(orders_by_customer(spark, sf), ["year", "unit"], "candidate", "o_totalprice", "total", digits=2)
+    won = winner(customer_orders(spark, sf), ["year", "unit"], "candidate", "cents", "total")
+    return won.withColumn("total", F.col("total") / 100)
 
 
 @query(
@@ -34,8 +35,8 @@ def votes_won(spark: SparkSession, sf: str) -> DataFrame:
     FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2""",
 )
 def agg_sum(spark, sf):
-    sums = total_by(orders_by_customer(spark, sf), ["year", "unit"], "o_totalprice", "total")
-    return sums.select(big("year"), big("unit"), F.round("total", 2).alias("total"))
+    sums = total_by(customer_orders(spark, sf), ["year", "unit"], "cents", "total")
+    return sums.select(big("year"), big("unit"), (F.col("total") / 100).alias("total"))
 
 
 @query(
@@ -83,19 +84,21 @@ def agg_share(spark, sf):
 
 @query(
     "agg_mean_by_year",
-    """SELECT 'quality' AS series, source AS grp, round(avg(quality), 4) AS mean_value
+    """SELECT 'quality' AS series, source AS grp, avg(quality) AS mean_value
     FROM labels JOIN documents USING (doc_id) GROUP BY source
     UNION ALL
-    SELECT 'order_total', CAST(year(o_orderdate) AS VARCHAR), round(avg(o_totalprice), 4) FROM orders GROUP BY 2""",
+    SELECT 'order_total', CAST(year(o_orderdate) AS VARCHAR), 
+      sum(CAST(round(o_totalprice * 100) AS BIGINT)) / (100.0 * count(*)) FROM orders GROUP BY 2""",
 )
 def agg_mean_by_year(spark, sf):
     documents = table(spark, sf, "documents").select("doc_id", "source")
     labels = table(spark, sf, "labels").select("doc_id", "quality")
     quality = labels.join(documents, "doc_id").groupBy(F.col("source").alias("grp"))
     price = table(spark, sf, "orders").groupBy(F.year("o_orderdate").cast("string").alias("grp"))
+    mean_order = F.sum(hundredths("o_totalprice")) / (F.count(F.lit(1)) * 100)
     parts = [
-        quality.agg(F.round(F.avg("quality"), 4).alias("mean_value")).withColumn("series", F.lit("quality")),
-        price.agg(F.round(F.avg("o_totalprice"), 4).alias("mean_value")).withColumn("series", F.lit("order_total")),
+        quality.agg(F.avg("quality").alias("mean_value")).withColumn("series", F.lit("quality")),
+        price.agg(mean_order.alias("mean_value")).withColumn("series", F.lit("order_total")),
     ]
     return parts[0].unionByName(parts[1]).select("series", "grp", "mean_value")
 
@@ -128,8 +131,8 @@ def winner_simple(spark, sf):
     FROM c QUALIFY row_number() OVER (PARTITION BY year ORDER BY n DESC, label) = 1""",
 )
 def majority_class(spark, sf):
-    rows = orders_by_customer(spark, sf).select("year", F.col("candidate").alias("label"))
-    return majority(rows, "label", ["year"]).withColumn("year", F.col("year").cast("bigint"))
+    rows = customer_orders(spark, sf).select("year", F.col("candidate").alias("label"), "n")
+    return majority(rows, "label", ["year"], weight="n").withColumn("year", F.col("year").cast("bigint"))
 
 
 @query(

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,3 +29,20 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="panelspark-")
         spark.sparkContext.setCheckpointDir(base)
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back.
+
+    Used where several branches of a plan need the same reduced table: it is computed once,
+    outlives lost executors, and its file sizes tell Catalyst what may be broadcast.
+    """
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle_all(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Settle independent tables at the same time, so their jobs share the cluster."""
+    with ThreadPoolExecutor(max_workers=min(8, len(frames))) as pool:
+        return dict(zip(frames, pool.map(settle, frames.values(), frames)))
