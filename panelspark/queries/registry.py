@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
-_FAMILIES = ("winners", "cleaning", "joins", "shaping", "panels")
+_FAMILIES = ("winners", "cleaning", "joins", "shaping", "panels", "files", "profiling")
 _RUNNERS: dict[str, Runner] = {}
 _ORACLES: dict[str, str] = {}
 
