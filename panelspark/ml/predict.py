@@ -31,3 +31,19 @@ def keep_chosen_years(
     chosen = F.coalesce(panel_key_year(key).isin(list(years)), F.lit(False))
     any_match = df.agg(F.coalesce(F.bool_or(chosen), F.lit(False)).alias("any")).scalar()
     return df.filter(chosen | ~any_match)
+
+
+def feature_rows(df: DataFrame, key: str, label: str, features: Sequence[str]) -> DataFrame:
+    """Key, label and numeric features; a feature that is no number becomes NULL."""
+    numbers = [F.col(c).try_cast("double").alias(c) for c in features]
+    return df.select(key, F.col(label).try_cast("bigint").alias("label"), *numbers)
+
+
+def first_features(df: DataFrame, label: str, key: str, at_most: int = 3) -> list[str]:
+    """The first columns that are neither label nor key."""
+    return [c for c in df.columns if c not in (label, key)][:at_most]
+
+
+def as_vector(df: DataFrame, features: Sequence[str], name: str) -> DataFrame:
+    """Features as one array column."""
+    return df.withColumn(name, F.array(*features))

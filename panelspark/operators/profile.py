@@ -79,30 +79,34 @@ def quantiles(
     """
     margin = 4.0 / accuracy
     edges = [e for q in at for e in (max(0.0, q - margin), min(1.0, q + margin))]
-    sketch = df.agg(
-        F.struct(*[F.percentile_approx(F.col(c).cast("double"), edges, accuracy).alias(c) for c in columns]).alias("s")
-    ).scalar()
-
-    def place(bracket, block, piece):
-        return F.struct(bracket.cast("int").alias("bracket"), F.lit(block).alias("block"), piece.cast("int").alias("piece"))
-
-    cells = []
-    for c in columns:
-        v = F.col(c).cast("double")
-        brackets = [(sketch[c][2 * i], sketch[c][2 * i + 1]) for i in range(len(at))]
-        inside, where = None, F.when(F.lit(False), place(F.lit(0), False, F.lit(0)))
-        for i, (low, high) in enumerate(brackets):
-            piece = F.when(high > low, F.floor((v - low) / (high - low) * (slices - 1))).otherwise(F.lit(0))
-            where = where.when(v.between(low, high), place(F.lit(i), False, piece))
-            inside = v.between(low, high) if inside is None else inside | v.between(low, high)
-        behind = F.greatest(F.lit(-1), F.lit(-1), *[F.when(high < v, F.lit(i)) for i, (_, high) in enumerate(brackets)])
-        where = where.otherwise(place(behind, True, F.lit(0)))
-        cells.append(F.when(v.isNotNull(), F.struct(where.alias("place"), F.when(inside, v).alias("v"))).alias(c))
+    wide = df.agg(*[F.percentile_approx(F.col(c).cast("double"), edges, accuracy).alias(c) for c in columns])
+    named = [e for c in columns for e in (F.lit(c), F.col(c))]
+    bounds = wide.select(F.create_map(*named).alias("bounds")).scalar()
+
+    cells = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "column", "v")
+    cells = cells.filter(F.col("v").isNotNull()).withColumn("edges", F.element_at(bounds, F.col("column")))
+    v = F.col("v")
+    brackets = [(F.col("edges")[2 * i], F.col("edges")[2 * i + 1]) for i in range(len(at))]
+    none = F.lit(None).cast("int")
+    inside = F.coalesce(*[F.when(v.between(low, high), F.lit(i)) for i, (low, high) in enumerate(brackets)], none)
+    behind = F.coalesce(*[F.when(v > brackets[i][1], F.lit(i)) for i in reversed(range(len(at)))], F.lit(-1))
+    cells = cells.select("column", "v", "edges", inside.alias("inside"), behind.alias("behind"))
+    cells = cells.select(
+        "column",
+        "v",
+        "inside",
+        "behind",
+        F.get("edges", F.col("inside") * 2).alias("low"),
+        F.get("edges", F.col("inside") * 2 + 1).alias("high"),
+    )
+    # Places are whole numbers in value order: the slices of bracket i, then the block behind it.
+    stride = slices + 1
+    piece = F.when(F.col("high") > F.col("low"), F.floor((v - F.col("low")) / (F.col("high") - F.col("low")) * (slices - 1)))
+    in_slice = F.col("inside") * stride + F.coalesce(piece, F.lit(0))
+    place = F.coalesce(in_slice, F.col("behind") * stride + slices).cast("int")
     counts = (
-        df.select(*cells)
-        .unpivot([], list(columns), "column", "cell")
-        .filter(F.col("cell").isNotNull())
-        .groupBy("column", "cell.place", "cell.v")
+        cells.select("column", place.alias("place"), F.when(F.col("inside").isNotNull(), v).alias("v"))
+        .groupBy("column", "place", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -137,7 +141,7 @@ def quantiles(
         .withColumn("last", F.col("first") + F.col("n") - 1)
     )
     value = F.when(
-        F.col("place.block"), F.raise_error(F.lit("a quantile fell outside its bracket; raise the accuracy"))
+        F.col("v").isNull(), F.raise_error(F.lit("a quantile fell outside its bracket; raise the accuracy"))
     ).otherwise(F.col("v"))
     picks = [F.max(F.when(r.between(F.col("first"), F.col("last")), value)).alias(n) for n, r in ranks(F.col("total"))]
     picked = ranked.groupBy("column").agg(F.max("total").alias("n_values"), *picks)
