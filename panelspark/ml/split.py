@@ -22,23 +22,21 @@ def digest(key: str, seed: int):
 
 def digest_rank(df: DataFrame, key: str, strata: Sequence[str] = (), seed: int = 42) -> DataFrame:
     """Add ``_rank`` (1-based, in digest order within the stratum) and ``_size`` of the stratum."""
-    rows = df.withColumn("_digest", digest(key, seed)).withColumn("_slice", F.substring("_digest", 1, SLICE_DIGITS))
-    groups = [*strata, "_slice"]
+    # A struct, so that rows without a label form a stratum of their own and join like any other.
+    slice_ = F.substring("_digest", 1, SLICE_DIGITS).alias("slice")
+    rows = df.withColumn("_digest", digest(key, seed)).withColumn(
+        "_group", F.struct(F.struct(F.lit(0).alias("all"), *strata).alias("stratum"), slice_)
+    )
     # At most 4096 rows per stratum.
-    sizes = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-    stratum = Window.partitionBy(*(strata or [F.lit(1)]))
-    before = stratum.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
+    stratum = Window.partitionBy("_group.stratum")
+    before = stratum.orderBy("_group.slice").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(
-        *[F.col(c).alias(f"_of_{c}") for c in groups],
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"),
-        F.sum("_n").over(stratum).alias("_size"),
-    )
-    within = F.row_number().over(Window.partitionBy(*groups).orderBy("_digest", key))
-    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in groups]
-    ranked = rows.withColumn("_within", within).join(shifts, same)
-    return ranked.withColumn("_rank", F.col("_shift") + F.col("_within")).drop(
-        "_digest", "_slice", "_within", "_shift", *[f"_of_{c}" for c in groups]
+        "_group", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"), F.sum("_n").over(stratum).alias("_size")
     )
+    within = F.row_number().over(Window.partitionBy("_group").orderBy("_digest", key))
+    ranked = rows.withColumn("_within", within).join(shifts, "_group")
+    return ranked.withColumn("_rank", F.col("_shift") + F.col("_within")).drop("_digest", "_group", "_within", "_shift")
 
 
 def _share(percent: int):

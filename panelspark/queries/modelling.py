@@ -272,3 +272,76 @@ def predict_majority_by_year(spark, sf):
     scored = knn.predict(scaled["labelled"], scaled["unlabelled"], "panel_key", "v", "label", 2)
     by_year = scored.withColumn("year", panel_key_year("panel_key").cast("bigint"))
     return majority(by_year, "prediction", ["year"])
+
+
+# Estimators: results depend on Spark's solvers, so these are checked by their rows only.
+CUSTOMER_FEATURES = ["n_orders", "total", "mean_price"]
+SEGMENT_CLASSES = {1: "Construction", 2: "Home", 3: "Industry", 4: "Transport"}
+
+
+def _customer_rows(spark, sf):
+    """Every customer with orders: its segment class and three order indicators."""
+    from panelspark.operators.lookup import map_values
+    from panelspark.queries.base import hundredths
+    from panelspark.queries.winners import LABEL_IDS, SEGMENT_LABELS
+
+    per_customer = (
+        table(spark, sf, "orders")
+        .groupBy(F.col("o_custkey").alias("id"))
+        .agg(F.count(F.lit(1)).alias("n_orders"), F.sum(hundredths("o_totalprice")).alias("cents"))
+    )
+    label = map_values(map_values("c_mktsegment", SEGMENT_LABELS), LABEL_IDS)
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), label.alias("label"))
+    return per_customer.join(customers, "id").select(
+        "id", "label", "n_orders", (F.col("cents") / 100).alias("total"),
+        (F.col("cents") / (F.col("n_orders") * 100)).alias("mean_price"),
+    )
+
+
+def _prepared(spark, sf, **kwargs):
+    from panelspark.ml import pipeline
+
+    return pipeline.prepare(_customer_rows(spark, sf), "id", "label", CUSTOMER_FEATURES, **kwargs)
+
+
+@query("ml_model_results")
+def ml_model_results(spark, sf):
+    """All seven models: noise, 80/20 split by class, half of the training rows, cross-validation."""
+    from panelspark.ml import pipeline
+
+    data = _prepared(spark, sf, noise_level=0.3, keep_percent=50)
+    return pipeline.compare_models(data, class_names=SEGMENT_CLASSES).results
+
+
+@query("ml_grid_search")
+def ml_grid_search(spark, sf):
+    from panelspark.ml import pipeline
+
+    grid = {"trees": (5, 10), "depth": (2, 4), "leaf": (1, 5)}
+    return pipeline.grid_search(_prepared(spark, sf, train_percent=70), grid)[0]
+
+
+@query("ml_importances")
+def ml_importances(spark, sf):
+    from panelspark.ml import pipeline
+
+    grid = {"trees": (10,), "depth": (2, 4), "leaf": (1,)}
+    best = pipeline.grid_search(_prepared(spark, sf, train_percent=70), grid)[1]
+    return pipeline.importances(best, CUSTOMER_FEATURES, spark)
+
+
+@query("ml_year_models")
+def ml_year_models(spark, sf):
+    """Best model's yearly variants, and the majority class it predicts for every unlabelled year."""
+    from datetime import datetime
+
+    from panelspark.ml import pipeline
+
+    labelled = settle(labelled_rows(spark, sf, True), "labelled")
+    unlabelled = settle(labelled_rows(spark, sf, False), "unlabelled")
+    data = pipeline.prepare(labelled, "panel_key", "politics", PANEL_FEATURES)
+    compared = pipeline.compare_models(data, ["Decision Tree", "Random Forest"], SEGMENT_CLASSES)
+    years, valid, known = [1997, 1999], range(1995, 2002), {1996, 1998, 2000}
+    predicted = pipeline.predict_years(compared, data, unlabelled, "panel_key", years, valid, known)
+    yearly = pipeline.yearly_models(labelled, "panel_key", "politics", PANEL_FEATURES, compared.best, years)
+    return pipeline.yearly_results(predicted, yearly, SEGMENT_CLASSES, datetime(1970, 1, 1))
