@@ -4,19 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions.numbers import truncate
 
 
 def ols_fill(
-    df: DataFrame, unit: Sequence[str], x: str, y: str, post: str = "trunc", digits: int = 2
+    df: DataFrame,
+    unit: Sequence[str],
+    x: str,
+    y: str,
+    post: str = "trunc",
+    digits: int = 2,
+    only: Column | None = None,
 ) -> DataFrame:
     """Fill missing ``y`` with the least-squares line of the unit's known points.
 
     ``post="trunc"`` truncates the predictions, ``post="round"`` rounds every value.
-    A unit with fewer than two distinct known years keeps its gaps.  The line is one
+    ``only`` restricts the filling to some units.  A unit with fewer than two distinct known years keeps its gaps.  The line is one
     grouped aggregate for all units at once; it is evaluated around the mean of ``x``
     so that year numbers near 2000 cost no precision.
     """
@@ -33,4 +39,6 @@ def ols_fill(
         filled = F.round(F.coalesce(F.col(y).cast("double"), predicted), digits)
     else:
         raise ValueError(f"unknown post-processing {post!r}")
+    if only is not None:
+        filled = F.when(only, filled).otherwise(F.col(y).cast("double"))
     return df.join(lines, list(unit), "left").withColumn(y, filled).drop("_slope", "_mean_x", "_mean_y")

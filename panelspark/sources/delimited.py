@@ -75,7 +75,9 @@ def read_tagged(
     found = matching_paths(spark, paths)
     if not found:
         raise FileNotFoundError(f"none of these paths exists: {list(paths)}")
-    return read_delimited(spark, found, schema, sep, header).withColumn(tag, F.col("_metadata.file_path"))
+    # The path arrives percent-encoded; a plus sign in it is a plus sign.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return read_delimited(spark, found, schema, sep, header).withColumn(tag, path)
 
 
 def read_each(spark: SparkSession, pattern: str, sep: str = ",", tag: str = "source_file") -> list[DataFrame]:
