@@ -34,7 +34,8 @@ def ols_fill(
     )
     predicted = F.col("_mean_y") + F.col("_slope") * (F.col(x) - F.col("_mean_x"))
     if post == "trunc":
-        filled = F.coalesce(F.col(y).cast("double"), truncate(predicted).cast("double"))
+        # Points on a line may predict 9.999999999 for 10; rounding far behind the point undoes that.
+        filled = F.coalesce(F.col(y).cast("double"), truncate(F.round(predicted, 6)).cast("double"))
     elif post == "round":
         filled = F.round(F.coalesce(F.col(y).cast("double"), predicted), digits)
     else:
