@@ -75,8 +75,9 @@ def prepare(
     ])
     if noise_level:
         rows = add_noise(rows, "key", features, noise_level, seed)
-    rows = split.split(split.without_rare_classes(rows, "label"), "key", ["label"], train_percent, seed)
-    rows = settle(rows, "model-rows")
+    # Settled before it is ranked, since ranking reads its input twice.
+    rows = settle(split.without_rare_classes(settle(rows, "model-input"), "label"), "model-classes")
+    rows = settle(split.split(rows, "key", ["label"], train_percent, seed), "model-rows")
     train = rows.filter("part = 'train'")
     if keep_percent < 100:
         kept = split.sample(train, "key", keep_percent, seed)

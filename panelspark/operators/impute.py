@@ -26,12 +26,13 @@ def ols_fill(
     grouped aggregate for all units at once; it is evaluated around the mean of ``x``
     so that year numbers near 2000 cost no precision.
     """
-    known = df.filter(F.col(y).isNotNull() & F.col(x).isNotNull())
-    lines = known.groupBy(*unit).agg(
-        F.regr_slope(F.col(y).cast("double"), F.col(x).cast("double")).alias("_slope"),
-        F.avg(F.col(x).cast("double")).alias("_mean_x"),
-        F.avg(F.col(y).cast("double")).alias("_mean_y"),
+    # The regression functions skip rows without x or y by themselves.  With no filter here, and a
+    # null-safe join that infers none, both uses of ``df`` are the same plan and run once.
+    point = (F.col(y).cast("double"), F.col(x).cast("double"))
+    lines = df.groupBy(*[F.col(c).alias(f"_{c}") for c in unit]).agg(
+        F.regr_slope(*point).alias("_slope"), F.regr_avgx(*point).alias("_mean_x"), F.regr_avgy(*point).alias("_mean_y")
     )
+    same_unit = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in unit]
     predicted = F.col("_mean_y") + F.col("_slope") * (F.col(x) - F.col("_mean_x"))
     if post == "trunc":
         # Points on a line may predict 9.999999999 for 10; rounding far behind the point undoes that.
@@ -42,4 +43,5 @@ def ols_fill(
         raise ValueError(f"unknown post-processing {post!r}")
     if only is not None:
         filled = F.when(only, filled).otherwise(F.col(y).cast("double"))
-    return df.join(lines, list(unit), "left").withColumn(y, filled).drop("_slope", "_mean_x", "_mean_y")
+    made = ["_slope", "_mean_x", "_mean_y", *[f"_{c}" for c in unit]]
+    return df.join(lines, same_unit, "left").withColumn(y, filled).drop(*made)

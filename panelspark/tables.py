@@ -9,11 +9,21 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Lazily open ``<root>/<name>.parquet``; filters and columns are pruned into the scan."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    """Lazily open ``<root>/<name>.parquet``; filters and columns are pruned into the scan.
+
+    The schema is inferred once per path, since inference starts a job each time.
+    """
+    path = f"{root.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
