@@ -1,42 +1,22 @@
 """Repeatable splits, samples and folds.
 
 Rows are ranked by the MD5 digest of key and seed, so a split is exact in size, the same on
-every run, and independent of how rows are spread over tasks.  The rank is found without
-bringing a class together: rows are numbered inside slices of the digest space and shifted by
-the sizes of the slices before them, so a class with a third of all rows is spread like any other.
+every run, and independent of how rows are spread over tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLICE_DIGITS = 3  # hexadecimal digits of the digest: 4096 slices per class
-
-
-def digest(key: str, seed: int):
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
+from panelspark.operators.numbering import rank_by_digest
 
 
 def digest_rank(df: DataFrame, key: str, strata: Sequence[str] = (), seed: int = 42) -> DataFrame:
     """Add ``_rank`` (1-based, in digest order within the stratum) and ``_size`` of the stratum."""
-    # A struct, so that rows without a label form a stratum of their own and join like any other.
-    slice_ = F.substring("_digest", 1, SLICE_DIGITS).alias("slice")
-    rows = df.withColumn("_digest", digest(key, seed)).withColumn(
-        "_group", F.struct(F.struct(F.lit(0).alias("all"), *strata).alias("stratum"), slice_)
-    )
-    # At most 4096 rows per stratum.
-    sizes = rows.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
-    stratum = Window.partitionBy("_group.stratum")
-    before = stratum.orderBy("_group.slice").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select(
-        "_group", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"), F.sum("_n").over(stratum).alias("_size")
-    )
-    within = F.row_number().over(Window.partitionBy("_group").orderBy("_digest", key))
-    ranked = rows.withColumn("_within", within).join(shifts, "_group")
-    return ranked.withColumn("_rank", F.col("_shift") + F.col("_within")).drop("_digest", "_group", "_within", "_shift")
+    return rank_by_digest(df, F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}"))), [key], strata)
 
 
 def _share(percent: int):

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from panelspark.functions.text import pad_code
+from panelspark.operators.numbering import surrogate_id
 from panelspark.plans import elections, indicators
 from panelspark.plans.panel import NATION, REGION, UNIT, Measure, build_panel
-from panelspark.plans.star import Dimension, analysis_set, build_fact, surrogate_id
+from panelspark.plans.star import Dimension, analysis_set, build_fact
 from panelspark.sinks.writers import processed_path, write_csv
 from panelspark.sources.delimited import (
     read_any,
@@ -172,7 +173,7 @@ def consolidated(
 
 
 def star_dimensions(tables: Mapping[str, DataFrame]) -> list[Dimension]:
-    """Dimension tables with ids in natural-key order."""
+    """Dimension tables with dense ids."""
     place = {UNIT: ["unit"], REGION: ["region"], NATION: ["year"]}
     return [
         Dimension(

@@ -1,11 +1,11 @@
-"""Star schema: conformed dimensions, surrogate ids, the fact of ids, and the analysis sets."""
+"""Star schema: conformed dimensions, the fact of ids, and the analysis sets."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -28,27 +28,6 @@ def conform(df: DataFrame, mapping: Mapping[str, str], target: StructType) -> Da
     return df.select(*[F.col(f"`{renamed[f.name.lower()]}`").try_cast(f.dataType).alias(f.name) for f in kept])
 
 
-def surrogate_id(df: DataFrame, leading: str, rest: Sequence[str], name: str = "id") -> DataFrame:
-    """1, 2, 3, … in the order of the natural key (``leading``, then ``rest``).
-
-    Rows are numbered inside each value of the leading column and shifted by the number of
-    rows before it, so no task sorts the whole table.  The shift is computed over one row per
-    leading value (years).
-    """
-    # One row per year: a single running sum over a table of years.
-    before = Window.orderBy(leading).rowsBetween(Window.unboundedPreceding, -1)
-    counts = df.groupBy(leading).agg(F.count(F.lit(1)).alias("_n"))
-    shifts = counts.select(leading, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    within = F.row_number().over(Window.partitionBy(leading).orderBy(*rest))
-    numbered = df.withColumn("_within", within).join(shifts, leading)
-    return numbered.withColumn(name, F.col("_shift") + F.col("_within")).drop("_n", "_shift", "_within")
-
-
-def hashed_id(df: DataFrame, keys: Sequence[str], name: str = "id") -> DataFrame:
-    """Ids without any shuffle, for dimensions too large to number."""
-    return df.withColumn(name, F.xxhash64(*keys))
-
-
 @dataclass(frozen=True)
 class Dimension:
     """A dimension table with its id, keyed like a panel measure by ``level``."""

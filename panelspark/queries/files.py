@@ -48,7 +48,9 @@ def src_csv_roundtrip(spark, sf):
 )
 def src_headerless(spark, sf):
     """Each part file repeats the header line inside; a code pattern tells data from headers."""
-    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice").repartition(4, "o_custkey")
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus")
+    # Two branches, so that even a small table is written as several parts.
+    orders = stack([orders.filter("o_orderstatus = 'F'"), orders.filter("o_orderstatus <> 'F'")]).drop("o_orderstatus")
     coded = orders.withColumn("o_custkey", F.lpad(F.col("o_custkey").cast("string"), 12, "0"))
     path = write_csv(coded, shared_dir(spark, "headerless"))
     raw = read_headerless(spark, path, ["code", "id", "price"], F.col("code").rlike("^[0-9]+$"))

@@ -14,9 +14,10 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 
 from panelspark.functions.text import pad_code, upper_name
 from panelspark.operators.lookup import map_values
+from panelspark.operators.numbering import surrogate_id
 from panelspark.operators.rank import winner
 from panelspark.plans.panel import NATION, REGION, UNIT, Measure, build_panel
-from panelspark.plans.star import Dimension, analysis_set, build_fact, conform, surrogate_id
+from panelspark.plans.star import Dimension, analysis_set, build_fact, conform
 from panelspark.queries.base import WINNERS, line_facts, mean_price, nations, order_facts, total_price
 from panelspark.queries.registry import query
 from panelspark.queries.winners import LABEL_IDS, SEGMENT_LABELS
@@ -207,13 +208,13 @@ def units_reported(spark: SparkSession, sf: str) -> DataFrame:
 
 
 DIMS = DOMAINS + """,
-  d_pol AS (SELECT *, row_number() OVER (ORDER BY year, unit) AS id FROM pol),
-  d_sec AS (SELECT *, row_number() OVER (ORDER BY year, unit) AS id FROM sec),
-  d_sat AS (SELECT *, row_number() OVER (ORDER BY year, unit) AS id FROM sat),
-  d_soc AS (SELECT *, row_number() OVER (ORDER BY year, region) AS id FROM soc),
-  d_env AS (SELECT *, row_number() OVER (ORDER BY year, region) AS id FROM env),
-  d_edu AS (SELECT *, row_number() OVER (ORDER BY year, unit) AS id FROM edu),
-  d_dem AS (SELECT *, row_number() OVER (ORDER BY year, unit) AS id FROM dem),
+  d_pol AS (SELECT *, row_number() OVER (ORDER BY year, md5(unit), unit) AS id FROM pol),
+  d_sec AS (SELECT *, row_number() OVER (ORDER BY year, md5(unit), unit) AS id FROM sec),
+  d_sat AS (SELECT *, row_number() OVER (ORDER BY year, md5(unit), unit) AS id FROM sat),
+  d_soc AS (SELECT *, row_number() OVER (ORDER BY year, md5(CAST(region AS VARCHAR)), region) AS id FROM soc),
+  d_env AS (SELECT *, row_number() OVER (ORDER BY year, md5(CAST(region AS VARCHAR)), region) AS id FROM env),
+  d_edu AS (SELECT *, row_number() OVER (ORDER BY year, md5(unit), unit) AS id FROM edu),
+  d_dem AS (SELECT *, row_number() OVER (ORDER BY year, md5(unit), unit) AS id FROM dem),
   d_tec AS (SELECT *, row_number() OVER (ORDER BY year) AS id FROM tec)"""
 
 FACT = DIMS + """,

@@ -1,8 +1,12 @@
+import hashlib
+
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from panelspark.plans.panel import NATION, REGION, Measure, build_panel
-from panelspark.plans.star import Dimension, analysis_set, build_fact, conform, hashed_id, surrogate_id
+from panelspark.operators.numbering import hashed_id, surrogate_id
+from panelspark.plans.star import Dimension, analysis_set, build_fact, conform
 
 UNITS = [("01", "84"), ("02", "32"), ("03", "84")]
 
@@ -52,12 +56,15 @@ def test_conform_matches_names_without_case_and_drops_id(spark):
         conform(df.select("other"), {}, target)
 
 
-def test_surrogate_ids_follow_the_natural_key(spark, rows):
-    df = unit_df(spark, [(2001, "01", 0), (2000, "02", 0), (2000, "01", 0), (2002, "01", 0)])
-    assert rows(surrogate_id(df, "year", ["unit"]), "id", "year", "unit") == [
-        (1, 2000, "01"), (2, 2000, "02"), (3, 2001, "01"), (4, 2002, "01"),
-    ]
-    assert hashed_id(df, ["year", "unit"]).select("id").distinct().count() == 4
+def test_surrogate_ids_are_dense_ordered_by_year_and_repeatable(spark):
+    df = spark.range(500).select((2000 + F.col("id") % 3).cast("int").alias("year"), F.col("id").cast("string").alias("unit"))
+    got = {(r.year, r.unit): r.id for r in surrogate_id(df, "year", ["unit"]).collect()}
+    assert sorted(got.values()) == list(range(1, 501))
+    want = sorted(got, key=lambda k: (k[0], hashlib.md5(k[1].encode()).hexdigest()))
+    assert [got[k] for k in want] == list(range(1, 501))
+    again = surrogate_id(df.repartition(5), "year", ["unit"])
+    assert got == {(r.year, r.unit): r.id for r in again.collect()}
+    assert hashed_id(df, ["year", "unit"]).select("id").distinct().count() == 500
 
 
 def test_fact_and_analysis_sets(spark, rows, units):
