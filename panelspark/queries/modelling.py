@@ -9,7 +9,7 @@ from panelspark.functions.text import panel_key_year
 from panelspark.ml import evaluate, knn, noise, predict, scale, split, vote
 from panelspark.operators.rank import majority
 from panelspark.queries.base import big
-from panelspark.queries.panels import FACT, labelled_rows
+from panelspark.queries.panels import FACT, analysis_sets
 from panelspark.queries.registry import query
 from panelspark.tables import settle, settle_all, table
 
@@ -232,7 +232,7 @@ def ml_best(spark, sf):
 )
 def ml_features(spark, sf):
     """Label and the first three indicators as numbers."""
-    rows = labelled_rows(spark, sf, True)
+    rows, _ = analysis_sets(spark, sf)
     return predict.feature_rows(rows, "panel_key", "politics", PANEL_FEATURES)
 
 
@@ -261,11 +261,9 @@ _SCORED = f"""WITH {FACT},
 )
 def predict_majority_by_year(spark, sf):
     """Unlabelled unit-years scored by their nearest labelled ones, then the majority per year."""
+    sets = zip(("labelled", "unlabelled"), analysis_sets(spark, sf))
     frames = settle_all(
-        {
-            "labelled": predict.feature_rows(labelled_rows(spark, sf, True), "panel_key", "politics", PANEL_FEATURES),
-            "unlabelled": predict.feature_rows(labelled_rows(spark, sf, False), "panel_key", "politics", PANEL_FEATURES),
-        }
+        {name: predict.feature_rows(rows, "panel_key", "politics", PANEL_FEATURES) for name, rows in sets}
     )
     scaler = scale.fit_minmax(frames["labelled"], PANEL_FEATURES)
     scaled = {name: predict.as_vector(scaler.apply(df), PANEL_FEATURES, "v") for name, df in frames.items()}
@@ -337,8 +335,7 @@ def ml_year_models(spark, sf):
 
     from panelspark.ml import pipeline
 
-    labelled = settle(labelled_rows(spark, sf, True), "labelled")
-    unlabelled = settle(labelled_rows(spark, sf, False), "unlabelled")
+    labelled, unlabelled = settle_all(dict(zip(("labelled", "unlabelled"), analysis_sets(spark, sf)))).values()
     data = pipeline.prepare(labelled, "panel_key", "politics", PANEL_FEATURES)
     compared = pipeline.compare_models(data, ["Decision Tree", "Random Forest"], SEGMENT_CLASSES)
     years, valid, known = [1997, 1999], range(1995, 2002), {1996, 1998, 2000}

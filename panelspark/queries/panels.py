@@ -21,7 +21,7 @@ from panelspark.plans.star import Dimension, analysis_set, build_fact, conform
 from panelspark.queries.base import WINNERS, line_facts, mean_price, nations, order_facts, total_price
 from panelspark.queries.registry import query
 from panelspark.queries.winners import LABEL_IDS, SEGMENT_LABELS
-from panelspark.tables import settle_all
+from panelspark.tables import settle, settle_all
 
 FIRST, LAST = 1995, 2001
 # The units reported on (all but 00 and 20) and the years that have a label.
@@ -257,10 +257,14 @@ def star_fact(spark, sf):
     return build_fact(dimensions(spark, sf), units_reported(spark, sf), FIRST, LAST)
 
 
-def labelled_rows(spark: SparkSession, sf: str, labelled: bool) -> DataFrame:
+def analysis_sets(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(labelled rows, unlabelled rows) over one set of dimensions and one fact table."""
     dims = dimensions(spark, sf)
-    fact = build_fact(dims, units_reported(spark, sf), FIRST, LAST)
-    return analysis_set(fact, dims, dims[0], labelled).withColumn("politics", F.col("politics").cast("bigint"))
+    fact = settle(build_fact(dims, units_reported(spark, sf), FIRST, LAST), "fact")
+    return tuple(
+        analysis_set(fact, dims, dims[0], labelled).withColumn("politics", F.col("politics").cast("bigint"))
+        for labelled in (True, False)
+    )
 
 
 @query(
@@ -269,7 +273,7 @@ def labelled_rows(spark: SparkSession, sf: str, labelled: bool) -> DataFrame:
     FROM fact JOIN d_pol ON politics_id = d_pol.id {_DIM_JOINS}""",
 )
 def star_labeled(spark, sf):
-    return labelled_rows(spark, sf, True)
+    return analysis_sets(spark, sf)[0]
 
 
 @query(
@@ -277,4 +281,4 @@ def star_labeled(spark, sf):
     f"""WITH {FACT} SELECT NULL::BIGINT AS politics, {_ATTRIBUTES} FROM fact {_DIM_JOINS} WHERE politics_id IS NULL""",
 )
 def star_unlabeled(spark, sf):
-    return labelled_rows(spark, sf, False)
+    return analysis_sets(spark, sf)[1]
