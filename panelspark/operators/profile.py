@@ -281,6 +281,16 @@ def correlations(df: DataFrame, columns: Sequence[str], digits: int = 6) -> Data
     return wide.select(F.inline(mirrored))
 
 
+def correlations_with(df: DataFrame, label: str, columns: Sequence[str], digits: int = 6) -> DataFrame:
+    """Pearson correlation of every column with the label, in one pass."""
+    target = F.col(label).cast("double")
+    entries = [
+        F.struct(F.lit(c).alias("column"), F.round(F.corr(F.col(c).cast("double"), target), digits).alias("corr"))
+        for c in columns
+    ]
+    return df.agg(F.array(*entries).alias("columns")).select(F.inline("columns"))
+
+
 def preview(df: DataFrame, rows: int = 5, order: Sequence[Column] = ()) -> DataFrame:
     """The first rows, for a report."""
     return (df.orderBy(*order) if order else df).limit(rows)

@@ -10,9 +10,9 @@ from pyspark.sql.types import StructType
 
 from panelspark.functions.text import pad_code
 from panelspark.operators.numbering import surrogate_id
-from panelspark.plans import elections, indicators
+from panelspark.plans import elections, indicators, schemas
 from panelspark.plans.panel import NATION, REGION, UNIT, Measure, build_panel
-from panelspark.plans.star import Dimension, analysis_set, build_fact
+from panelspark.plans.star import Dimension, analysis_set, build_fact, conform
 from panelspark.sinks.writers import processed_path, write_csv
 from panelspark.sources.delimited import (
     read_any,
@@ -197,6 +197,29 @@ def star(
     return dimensions, build_fact(dimensions, units, first, last)
 
 
+def save_star(dimensions: list[Dimension], fact: DataFrame, folder: str) -> dict[str, str]:
+    """Write dimension and fact tables under their stored column names and types."""
+    folder = folder.rstrip("/")
+    written: dict[str, str] = {}
+    for d in dimensions:
+        target = schemas.DIMENSIONS[d.name]
+        place = next((c for c in target.names if c.startswith("code_")), "unit")
+        year = "annee_fermeture" if "annee_fermeture" in target.names else "annee"
+        written[d.name] = f"{folder}/dim_{d.name}"
+        names = {"year": year, "unit": place, "region": place}
+        conform(d.df, names, target, keep_id=True).write.mode("overwrite").parquet(written[d.name])
+    written["fact"] = f"{folder}/fact_resultats_politique"
+    names = {"panel_key": "annee_code_dpt", "politique_id": "id_parti", "socio_economie_id": "socio_eco_id"}
+    conform(fact, names, schemas.FACT).write.mode("overwrite").parquet(written["fact"])
+    return written
+
+
+def append_results(results: DataFrame, path: str) -> str:
+    """Add the result rows of one model run to the stored results."""
+    conform(results, {}, schemas.MODEL_RESULTS).write.mode("append").parquet(path)
+    return path
+
+
 def model_sets(dimensions: list[Dimension], fact: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows with a known winner, rows without one)."""
     label = next(d for d in dimensions if d.name == "politique")

@@ -15,14 +15,14 @@ from panelspark.operators.reshape import unit_year_grid
 from panelspark.plans.panel import NATION, REGION, UNIT
 
 
-def conform(df: DataFrame, mapping: Mapping[str, str], target: StructType) -> DataFrame:
+def conform(df: DataFrame, mapping: Mapping[str, str], target: StructType, keep_id: bool = False) -> DataFrame:
     """Rename by ``mapping``, keep the columns that ``target`` has (names compared without
-    case), give them its names, order and types, and leave its ``id`` to be generated.
+    case), give them its names, order and types, and leave its ``id`` to be generated unless ``keep_id``.
 
     Values that do not fit the target type become NULL.
     """
     renamed = {mapping.get(c, c).lower(): c for c in df.columns}
-    kept = [f for f in target.fields if f.name.lower() in renamed and f.name.lower() != "id"]
+    kept = [f for f in target.fields if f.name.lower() in renamed and (keep_id or f.name.lower() != "id")]
     if not kept:
         raise ValueError(f"no column of {df.columns} belongs to the target {target.names}")
     return df.select(*[F.col(f"`{renamed[f.name.lower()]}`").try_cast(f.dataType).alias(f.name) for f in kept])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelspark.functions.text import panel_key_year
 from panelspark.ml import evaluate, knn, noise, predict, scale, split, vote
-from panelspark.operators.rank import majority
+from panelspark.operators.rank import distribution, majority
 from panelspark.queries.base import big
 from panelspark.queries.panels import FACT, analysis_sets
 from panelspark.queries.registry import query
@@ -233,7 +233,7 @@ def ml_best(spark, sf):
 def ml_features(spark, sf):
     """Label and the first three indicators as numbers."""
     rows, _ = analysis_sets(spark, sf)
-    return predict.feature_rows(rows, "panel_key", "politics", PANEL_FEATURES)
+    return predict.feature_rows(rows, "panel_key", "politics", predict.first_features(rows, "politics", "panel_key"))
 
 
 _SCORED = f"""WITH {FACT},
@@ -260,7 +260,23 @@ _SCORED = f"""WITH {FACT},
     QUALIFY row_number() OVER (PARTITION BY year ORDER BY n DESC, prediction) = 1""",
 )
 def predict_majority_by_year(spark, sf):
-    """Unlabelled unit-years scored by their nearest labelled ones, then the majority per year."""
+    """The majority class of the scored unit-years, per year."""
+    return majority(_scored_years(spark, sf), "prediction", ["year"])
+
+
+@query(
+    "predict_distribution_by_year",
+    f"""{_SCORED}, c AS (SELECT CAST(split_part(panel_key, '_', 1) AS BIGINT) AS year, prediction::BIGINT AS prediction, count(*) AS n
+      FROM p GROUP BY 1, 2)
+    SELECT year, prediction, n, sum(n) OVER (PARTITION BY year)::BIGINT AS n_rows,
+      round(n * 100.0 / sum(n) OVER (PARTITION BY year), 4) AS pct FROM c""",
+)
+def predict_distribution_by_year(spark, sf):
+    return distribution(settle(_scored_years(spark, sf), "scored-years"), "prediction", ["year"])
+
+
+def _scored_years(spark, sf):
+    """Unlabelled unit-years, classified by their nearest labelled ones."""
     sets = zip(("labelled", "unlabelled"), analysis_sets(spark, sf))
     frames = settle_all(
         {name: predict.feature_rows(rows, "panel_key", "politics", PANEL_FEATURES) for name, rows in sets}
@@ -268,8 +284,7 @@ def predict_majority_by_year(spark, sf):
     scaler = scale.fit_minmax(frames["labelled"], PANEL_FEATURES)
     scaled = {name: predict.as_vector(scaler.apply(df), PANEL_FEATURES, "v") for name, df in frames.items()}
     scored = knn.predict(scaled["labelled"], scaled["unlabelled"], "panel_key", "v", "label", 2)
-    by_year = scored.withColumn("year", panel_key_year("panel_key").cast("bigint"))
-    return majority(by_year, "prediction", ["year"])
+    return scored.withColumn("year", panel_key_year("panel_key").cast("bigint"))
 
 
 # Estimators: results depend on Spark's solvers, so these are checked by their rows only.

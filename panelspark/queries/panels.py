@@ -15,6 +15,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from panelspark.functions.text import pad_code, upper_name
 from panelspark.operators.lookup import map_values
 from panelspark.operators.numbering import surrogate_id
+from panelspark.operators.profile import correlations_with
 from panelspark.operators.rank import winner
 from panelspark.plans.panel import NATION, REGION, UNIT, Measure, build_panel
 from panelspark.plans.star import Dimension, analysis_set, build_fact, conform
@@ -282,3 +283,18 @@ def star_labeled(spark, sf):
 )
 def star_unlabeled(spark, sf):
     return analysis_sets(spark, sf)[1]
+
+
+INDICATORS = ["security", "socio_economy", "health", "environment", "education", "demography", "technology"]
+
+
+@query(
+    "corr_indicator_label",
+    f"""WITH {FACT}, x AS (SELECT d_pol.label::DOUBLE AS politics, {_ATTRIBUTES}
+      FROM fact JOIN d_pol ON politics_id = d_pol.id {_DIM_JOINS})
+    """
+    + "\nUNION ALL ".join(f"SELECT '{c}' AS \"column\", round(corr({c}, politics), 6) AS corr FROM x" for c in INDICATORS),
+)
+def corr_indicator_label(spark, sf):
+    """Which indicators go with the winning class, over the labelled unit-years."""
+    return correlations_with(analysis_sets(spark, sf)[0], "politics", INDICATORS)

@@ -1,9 +1,12 @@
 """The domain pipelines on a few hand-made rows per layout."""
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
-from panelspark.plans import elections, etl, indicators
+from panelspark.ml import pipeline
+from panelspark.plans import elections, etl, indicators, schemas
 from panelspark.sources.delimited import read_each
 
 
@@ -170,3 +173,20 @@ def test_end_to_end(spark, tmp_path):
     dimensions, fact = etl.star(reread, units)
     labelled, unlabelled = etl.model_sets(dimensions, fact)
     assert [r["panel_key"] for r in labelled.collect()] == ["2002_01"] and unlabelled.count() == 0
+
+    stored = etl.save_star(dimensions, fact, str(tmp_path / "star"))
+    assert spark.read.parquet(stored["fact"]).columns == schemas.FACT.names
+    for name, target in schemas.DIMENSIONS.items():
+        got = spark.read.parquet(stored[name])
+        assert set(got.columns) <= set(target.names) and "id" in got.columns
+        assert all(got.schema[c].dataType == target[c].dataType for c in got.columns)
+    assert set(spark.read.parquet(stored["politique"]).columns) == set(schemas.DIMENSIONS["politique"].names)
+
+
+def test_result_rows_are_appended(spark, tmp_path):
+    run = spark.createDataFrame([(1, datetime.datetime(2024, 1, 1), "KNN", "", 0.5, 0.4, 0.1, 2, "Gauche", 60.0)], pipeline.RESULTS)
+    path = str(tmp_path / "results")
+    etl.append_results(run, path)
+    etl.append_results(run, path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 2 and stored.columns == schemas.MODEL_RESULTS.names
