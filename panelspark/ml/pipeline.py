@@ -29,7 +29,7 @@ from panelspark.tables import settle
 
 RESULTS = """position bigint, run_timestamp timestamp, model_name string, description string, accuracy double,
 cv_mean double, cv_std double, winner_id bigint, winner_name string, winner_pct double"""
-THREADS = 4
+THREADS = 8
 MIN_ROWS = 10
 
 
