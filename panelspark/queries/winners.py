@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelspark.functions.numbers import flag, percent_of
 from panelspark.operators.lookup import map_values
 from panelspark.operators.rank import distribution, majority, top_per_group, total_by, winner
-from panelspark.queries.base import VOTES, WINNERS, big, customer_orders, hundredths, nations, regions
+from panelspark.queries.base import WINNERS, big, customer_orders, hundredths, nations, regions
 from panelspark.queries.registry import query
 from panelspark.tables import table
 
@@ -188,4 +188,3 @@ def flagship_winner_panel(spark, sf):
     ).orderBy("panel_key")
 
 
-__all__ = ["VOTES", "votes_won"]
