@@ -84,7 +84,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # Pre-aggregated below the shuffle: a text with a third of all rows enters it as one row per task.
     best = F.min(F.struct((-F.col("n")).alias("n"), F.col("id").isNull().alias("none"), "id", "row"))
     groups = maybe.groupBy("sha").agg(best.alias("best"), F.count(F.lit(1)).alias("size"))
-    several = maybe.join(groups, "sha").select(
+    # The key of the groups is an expression: the join deals both sides anew, so that Spark can split a hot text.
+    groups = groups.select(F.lower("sha").alias("key"), "best", "size")
+    several = maybe.join(groups, F.col("sha") == F.col("key")).select(
         F.col("id").alias(id_col), F.col("best.id").alias("keep_id"), F.col("size").alias("group_size"),
         (F.col("row") == F.col("best.row")).alias("kept"), F.col("sha").alias("text_sha256"),
     )
