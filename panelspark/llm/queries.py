@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelspark.llm import exact
+from panelspark.llm import exact, simhash
+from panelspark.shipping import ship
 from panelspark.tables import table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+
+
 EXACT_SQL = r"""
 WITH hashed AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -34,6 +40,7 @@ WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
 def runners() -> dict[str, Runner]:
     return {
         "op5_exact_dedup": op5_exact_dedup,
+        "op8_simhash_near_dedup": op8_simhash_near_dedup,
     }
 
 
