@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelspark.llm import exact, simhash
+from panelspark.llm import exact, packing, simhash
 from panelspark.shipping import ship
 from panelspark.tables import table
 
@@ -22,6 +22,18 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of the queries, which every machine has at the same place."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048, end_id=0)
+
+
 EXACT_SQL = r"""
 WITH hashed AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -41,6 +53,7 @@ def runners() -> dict[str, Runner]:
     return {
         "op5_exact_dedup": op5_exact_dedup,
         "op8_simhash_near_dedup": op8_simhash_near_dedup,
+        "op10_best_fit_packing": op10_best_fit_packing,
     }
 
 
