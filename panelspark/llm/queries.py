@@ -4,15 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelspark.llm import exact, packing, simhash
+from panelspark.llm import exact, langid, packing, simhash
 from panelspark.shipping import ship
 from panelspark.tables import table
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
 
+def held_out(of: int) -> Column:
+    """The documents that a query does not learn from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % of == 2, F.lit(False))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(~held_out(4)))
+    return langid.predict(docs, model).select("doc_id", held_out(4).alias("held_out"), "lang_pred", "score")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -51,6 +64,7 @@ WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
 
 def runners() -> dict[str, Runner]:
     return {
+        "op4_language_id": op4_language_id,
         "op5_exact_dedup": op5_exact_dedup,
         "op8_simhash_near_dedup": op8_simhash_near_dedup,
         "op10_best_fit_packing": op10_best_fit_packing,

@@ -156,3 +156,36 @@ def lookup(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
         return np.full(len(keys), -1, np.int64)
     at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
     return np.where(table[at] == keys, at, -1)
+
+
+def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A UTF-8 buffer with its offsets as code points."""
+    points = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), "<u4")
+    before = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    return points, before[offsets]
+
+
+class Tally:
+    """Counts of 64-bit keys, gathered bit by bit; memory follows the number of distinct keys."""
+
+    def __init__(self) -> None:
+        self._parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self._waiting = 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self._parts.append((keys, counts))
+        self._waiting += len(keys)
+        if self._waiting > (1 << 20) + 2 * len(self._parts[0][0]):
+            self._parts = [self.total()]
+            self._waiting = 0
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys and their counts."""
+        if not self._parts:
+            return np.zeros(0, U), np.zeros(0, np.int64)
+        keys = np.concatenate([k for k, _ in self._parts])
+        counts = np.concatenate([c for _, c in self._parts])
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[len(keys) > 0], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
+        return keys[first], np.add.reduceat(counts[order], first) if len(first) else np.zeros(0, np.int64)
