@@ -10,20 +10,50 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelspark.llm import exact
+from panelspark.llm import decontaminate, exact, langid, packing, simhash
+from panelspark.llm.queries import tokenizer_path
 from panelspark.llm.store import settle
+from panelspark.shipping import ship
 from panelspark.tables import table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents whose language stays unknown (no letter, or no language has half of the probability)."""
+    ship(spark)
+    return langid.drop_unknown(docs, langid.train(docs), least_score=0.5)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal but for white space, the longest stays, then the smallest doc_id."""
     return exact.drop_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by fingerprints over five-word shingles (at most 3 of 64 bits differ), the smallest doc_id stays."""
+    ship(spark)
+    return simhash.drop_near_copies(docs, shingle=5, radius=3)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a test item or a passage of at least ten tokens of one."""
+    ship(spark)
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places the pieces of every document in sequences of 2048 tokens."""
+    ship(spark)
+    return packing.pack(docs, tokenizer_path(), capacity=2048, end_id=0)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("language ID", language_id),
     ("exact dedup", exact_dedup),
+    ("SimHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("best-fit packing", best_fit_packing),
 ]
 
 #: SQL cannot express tokenizers, fingerprints or packing; tests compare with a brute-force version.

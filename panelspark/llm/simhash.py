@@ -196,6 +196,16 @@ def links(fps: DataFrame, radius: int = 3, bucket: int = BUCKET) -> DataFrame:
         rows = hot.join(F.broadcast(finer), "mask").select("fp", F.explode("finer").alias("mask"))
 
 
+def _components(rows: DataFrame, radius: int) -> DataFrame:
+    """(fp, component_id) for every fingerprint of the settled ``rows`` (id, fp)."""
+    nodes = settle(rows.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint-nodes")
+    roots = components(links(nodes.select("fp"), radius))
+    grouped = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    grouped = settle(grouped.select("fp", "root", "least"), "fingerprint-roots")
+    least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
+    return settle(grouped.join(least, "root").select("fp", "component_id"), "fingerprint-components")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
     """One row per input row: id, fingerprint (16 hex digits), component_id (the smallest id reachable over links).
 
@@ -203,12 +213,18 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     zero.  Rows without an id get the smallest id of their group, null if there is none; repeated rows each get a row.
     """
     rows = settle(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    nodes = settle(rows.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint-nodes")
-    roots = components(links(nodes.select("fp"), radius))
-    grouped = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    grouped = settle(grouped.select("fp", "root", "least"), "fingerprint-roots")
-    least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = settle(grouped.join(least, "root").select("fp", "component_id"), "fingerprint-components")
-    return rows.join(of_fp, "fp").select(
+    return rows.join(_components(rows, radius), "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 3) -> DataFrame:
+    """``docs`` without all but one document of each group of :func:`near_groups`: the one with the smallest id.
+
+    Texts with no word have no shingle to compare and stay.  Of rows with the same id all stay or go together; a
+    row without an id goes where a row with one is in its group.  Texts stay where they are unless the list of what goes is too large to broadcast.
+    """
+    rows = settle(fingerprints(docs, id_col, text_col, shingle).filter("fp <> 0"), "fingerprints")
+    grouped = rows.join(_components(rows, radius), "fp")
+    gone = settle(grouped.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_gone")).distinct(), "near-copies")
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
