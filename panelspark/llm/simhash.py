@@ -1,4 +1,8 @@
-"""SimHash fingerprints and their groups, by deletion variants of two halves."""
+"""SimHash fingerprints and their groups, by deletion variants of a few long segments.
+
+Fingerprints are cut into so few segments that one of them differs in at most one bit.  Every segment is indexed once for each
+of its bits, that bit left out; fingerprints whose variants are equal meet and are verified on all bits.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +15,7 @@ from pyspark.sql import functions as F
 
 from panelspark.llm.components import components
 from panelspark.llm.store import settle
-from panelspark.llm.words import buffer_of, lower_words, single_spaced, slices
+from panelspark.llm.words import buffer_of, lower_words, mix, single_spaced, slices
 from panelspark.llm.xxh64 import xxh64
 
 SEED = 42
@@ -40,53 +44,67 @@ def majority(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprint_slice(data: np.ndarray, offsets: np.ndarray, shingle: int) -> np.ndarray:
-    """Fingerprints of a run of texts, from XXH64 of their shingles (all words, where a text has fewer)."""
+def fingerprint_slice(data: np.ndarray, offsets: np.ndarray, shingle: int, width: int = 1) -> np.ndarray:
+    """Fingerprints of a run of texts, ``width`` words of 64 bits each, from their shingles (all words, where a text has fewer).
+
+    The first word is made of the shingles' XXH64 hashes, further ones of these hashes mixed anew.
+    """
     words = single_spaced(lower_words(data, offsets))
     n = words.per_text()
     shingles = np.where(n >= shingle, n - shingle + 1, np.minimum(n, 1))
     bounds = np.concatenate([[0], np.cumsum(shingles)])
     first = np.repeat(words.bounds[:-1] - bounds[:-1], shingles) + np.arange(bounds[-1])
     last = first + np.repeat(np.minimum(n, shingle), shingles) - 1
-    return majority(xxh64(words.data, words.start[first], words.end[last], SEED), bounds)
+    hashes = xxh64(words.data, words.start[first], words.end[last], SEED)
+    more = [mix(hashes ^ np.uint64(k)) for k in range(1, width)]
+    return np.stack([majority(h, bounds) for h in (hashes, *more)], axis=1)
+
+
+def _names(width: int) -> list[str]:
+    return [f"fp{k}" for k in range(width)]
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(id, fp): one signed 64-bit fingerprint for each row.  Null and empty texts have fingerprint zero."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, width: int = 1) -> DataFrame:
+    """(id, fp0, …): a fingerprint of ``width`` signed longs for each row.  Null and empty texts have fingerprint zero."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = buffer_of(batch.column(1))
-            parts = [fingerprint_slice(d, o, shingle) for _, _, d, o in slices(data, offsets)]
-            fp = np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], names=["id", "fp"])
+            parts = [fingerprint_slice(d, o, shingle, width) for _, _, d, o in slices(*buffer_of(batch.column(1)))]
+            fp = np.concatenate(parts).view(np.int64) if parts else np.zeros((0, width), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *(pa.array(np.ascontiguousarray(fp[:, k])) for k in range(width))], names=["id", *_names(width)]
+            )
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long")
+    longs = "".join(f", {n} long" for n in _names(width))
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}{longs}")
 
 
 #: A bucket is compared as it stands up to so many members; larger ones are cut finer (see :func:`links`).
 BUCKET = 2048
+#: Bits of a key that tell its mask; the others are a hash, and what meets by chance is found unlike.
+MASK_BITS = 20
 
 
-def cuts(fixed: int, radius: int) -> list[int]:
+def cuts(fixed: int, segments: int, width: int = 1) -> list[int]:
     """Masks of the bits that a variant keeps: the free bits of ``fixed`` in segments, each with one bit left out.
 
-    There are just so many segments that one of them differs in at most one bit, if at most ``radius`` bits differ in all;
-    then the variant that leaves this bit out is the same for both fingerprints.
+    If all in all fewer than ``2 * segments`` bits differ, some segment differs in at most one; then the variant that leaves
+    this bit out is the same for both fingerprints.
     """
-    free = [i for i in range(64) if not fixed >> i & 1]
-    n = (radius + 2) // 2
+    free = [i for i in range(64 * width) if not fixed >> i & 1]
     found = []
-    for k in range(n):
-        segment = free[k * len(free) // n : (k + 1) * len(free) // n]
+    for k in range(segments):
+        segment = free[k * len(free) // segments : (k + 1) * len(free) // segments]
         whole = sum(1 << i for i in segment)
-        found += [fixed | (whole ^ (1 << i)) for i in segment] or [fixed]
-    return found
+        found += [fixed | (whole ^ (1 << i)) for i in segment]
+    return found or [fixed]
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
+def _longs(x: int, width: int) -> list[int]:
+    """A bit set as signed longs, lowest first."""
+    parts = [x >> 64 * k & (1 << 64) - 1 for k in range(width)]
+    return [p - (1 << 64) if p >> 63 else p for p in parts]
 
 
 def _union(pairs: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -110,22 +128,21 @@ def _union(pairs: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _compare(key: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows with equal (sorted) key whose fingerprints differ in at most ``radius`` bits."""
-    left, right = [], []
+    left, right = [np.zeros(0, int)], [np.zeros(0, int)]
     i, lag = np.arange(len(key)), 1
     while True:
         i = i[i + lag < len(key)]
         i = i[key[i] == key[i + lag]]
         if not len(i):
-            break
-        near = i[np.bitwise_count(fp[i] ^ fp[i + lag]) <= radius]
+            return np.concatenate(left), np.concatenate(right)
+        near = i[sum(np.bitwise_count(f[i] ^ f[i + lag]) for f in fp) <= radius]
         left.append(near)
         right.append(near + lag)
         lag += 1
-    return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, int), np.zeros(0, int))
 
 
 def _bucket_links(rows: DataFrame, radius: int, bucket: int) -> DataFrame:
-    """(a, b, mask) from (key, fp, mask): links inside each bucket (mask null), and the members of too large ones (b null)."""
+    """(a, b, mask) from (key, node, fp0, …): links inside each bucket, and the members of too large ones with their mask (b null)."""
 
     def out(a: np.ndarray, b: np.ndarray | None, mask: np.ndarray | None) -> pa.RecordBatch:
         none = pa.nulls(len(a), pa.int64())
@@ -133,19 +150,20 @@ def _bucket_links(rows: DataFrame, radius: int, bucket: int) -> DataFrame:
             [pa.array(a), none if b is None else pa.array(b), none if mask is None else pa.array(mask)], names=["a", "b", "mask"]
         )
 
-    def linked(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-        i, j = _compare(key, fp.view(np.uint64), radius)
-        pairs = np.array(_union(zip(fp[i].tolist(), fp[j].tolist())), np.int64).reshape(-1, 2)
+    def linked(key: np.ndarray, node: np.ndarray, *fp: np.ndarray) -> pa.RecordBatch:
+        i, j = _compare(key, [f.view(np.uint64) for f in fp], radius)
+        pairs = np.array(_union(zip(node[i].tolist(), node[j].tolist())), np.int64).reshape(-1, 2)
         return out(pairs[:, 0], pairs[:, 1], None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come sorted by key.  The last key of a batch may go on in the next one: its rows wait, or are passed on as
         # too many once there are more than a bucket holds.
-        wait = [np.zeros(0, np.int64)] * 3
-        large = None
+        wait, large = None, None
         for batch in batches:
-            now = [np.concatenate([w, np.asarray(batch.column(k))]) for k, w in enumerate(wait)]
-            key, fp, mask = now
+            now = [np.asarray(c) for c in batch.columns]
+            if wait is not None:
+                now = [np.concatenate(x) for x in zip(wait, now)]
+            key = now[0]
             if not len(key):
                 continue
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -156,75 +174,100 @@ def _bucket_links(rows: DataFrame, radius: int, bucket: int) -> DataFrame:
             large = key[-1] if too_many[-1] else None
             many = np.repeat(too_many, size)
             if many.any():
-                yield out(fp[many], None, mask[many])
+                yield out(now[1][many], None, key[many] & ((1 << MASK_BITS) - 1))
             tail = starts[-1] if large is None else len(key)
             done = ~many
             done[tail:] = False
+            # One row alone in its bucket is like nothing; most rows are.
+            done &= np.repeat(size > 1, size)
             if done.any():
-                yield linked(key[done], fp[done])
+                yield linked(*(x[done] for x in now))
             wait = [x[tail:] for x in now]
-        if len(wait[0]):
-            yield linked(wait[0], wait[1])
+        if wait is not None and len(wait[0]):
+            yield linked(*wait)
 
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long, mask long")
 
 
-def links(fps: DataFrame, radius: int = 3, bucket: int = BUCKET) -> DataFrame:
-    """(a, b): links that connect all fingerprints (column fp, distinct) that differ in at most ``radius`` bits.
+def links(nodes: DataFrame, radius: int = 3, segments: int = 2, bucket: int = BUCKET) -> DataFrame:
+    """(a, b): links that connect nodes whose fingerprints differ in at most ``radius`` bits; ``nodes`` has node, fp0, …, all distinct.
+
+    All such pairs meet if ``radius < 2 * segments``.  With a larger radius those that differ in fewer than
+    ``2 * segments`` bits surely meet, the others with a probability (see :func:`drop_near_copies`).
 
-    Every deletion variant of a fingerprint is indexed, rows of equal variants meet, and pairs are verified on all bits.
     Inside a bucket only links that join something are returned, not all pairs.  A bucket with over ``bucket``
-    members is cut by variants of the bits that it leaves free, with half as many free bits each time: after three cuts
-    at radius 3, at most ten bits are free, so no bucket has more than 1,024 distinct members.
+    members is cut by variants of the bits that it leaves free.  At radius 3 that leaves at most 33, 18 and 10 free bits
+    after one, two and three cuts, so that no bucket has more than 1,024 distinct members then.
     """
-    spark = fps.sparkSession
-    masks = F.array(*[F.lit(_signed(m)) for m in cuts(0, radius)])
-    rows = fps.select("fp", F.explode(masks).alias("mask"))
-    found = None
+    spark, names = nodes.sparkSession, nodes.columns[1:]
+    width = len(names)
+    masks = cuts(0, segments, width)
+    rows, found = nodes, None
+    owner = None
     while True:
-        keyed = rows.select(F.xxhash64("mask", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"), "fp", "mask")
-        level = settle(_bucket_links(keyed, radius, bucket), "simhash-links")
+        # Which mask a variant belongs to is part of its key.
+        if len(masks) >= 1 << MASK_BITS:
+            raise ValueError("too many masks; raise the size of a bucket")
+        listed = [(None if owner is None else owner[i], i, *_longs(m, width)) for i, m in enumerate(masks)]
+        kinds = "mask long, nth long, " + ", ".join(f"m{k} long" for k in range(width))
+        if owner is None:
+            variant = F.explode(F.array(*[F.struct(F.lit(r[1]).alias("nth"), *[F.lit(v).alias(f"m{k}") for k, v in enumerate(r[2:])]) for r in listed]))
+            varied = rows.select("*", variant.alias("v")).select("*", "v.*")
+        else:
+            varied = rows.join(F.broadcast(spark.createDataFrame(listed, kinds)), "mask")
+        hashed = F.xxhash64("nth", *[F.col(n).bitwiseAND(F.col(f"m{k}")) for k, n in enumerate(names)])
+        key = F.shiftleft(hashed, MASK_BITS).bitwiseOR(F.col("nth").cast("long"))
+        level = settle(_bucket_links(varied.select(key.alias("key"), "node", *names), radius, bucket), "simhash-links")
         here = level.filter("b is not null").select("a", "b")
         found = here if found is None else found.unionByName(here)
-        hot = level.filter("b is null").select(F.col("a").alias("fp"), "mask").distinct()
-        if hot.isEmpty():
+        hot = level.filter("b is null").select(F.col("a").alias("node"), "mask").distinct()
+        crowded = sorted(r[0] for r in hot.select("mask").distinct().collect())
+        if not crowded:
             return found
-        finer = spark.createDataFrame(
-            [(_signed(m), [_signed(x) for x in cuts(m & (1 << 64) - 1, radius)]) for (m,) in hot.select("mask").distinct().collect()],
-            "mask long, finer array<long>",
-        )
-        rows = hot.join(F.broadcast(finer), "mask").select("fp", F.explode("finer").alias("mask"))
-
-
-def _components(rows: DataFrame, radius: int) -> DataFrame:
-    """(fp, component_id) for every fingerprint of the settled ``rows`` (id, fp)."""
-    nodes = settle(rows.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint-nodes")
-    roots = components(links(nodes.select("fp"), radius))
-    grouped = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    grouped = settle(grouped.select("fp", "root", "least"), "fingerprint-roots")
+        finer = [(m, x) for m in crowded for x in cuts(masks[m], segments, width)]
+        owner, masks = [m for m, _ in finer], [x for _, x in finer]
+        rows = hot.join(nodes, "node")
+
+
+def _components(rows: DataFrame, radius: int, segments: int) -> DataFrame:
+    """(fp0, …, component_id) for every fingerprint of the settled ``rows`` (id, fp0, …)."""
+    names = rows.columns[1:]
+    nodes = settle(rows.groupBy(*names).agg(F.min("id").alias("least")).withColumn("node", F.monotonically_increasing_id()), "fingerprint-nodes")
+    roots = components(links(nodes.select("node", *names), radius, segments))
+    grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    grouped = settle(grouped.select(*names, "root", "least"), "fingerprint-roots")
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    return settle(grouped.join(least, "root").select("fp", "component_id"), "fingerprint-components")
+    return settle(grouped.join(least, "root").select(*names, "component_id"), "fingerprint-components")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3, segments: int = 2) -> DataFrame:
     """One row per input row: id, fingerprint (16 hex digits), component_id (the smallest id reachable over links).
 
     Equal fingerprints are one node, so copies add nothing but a row each.  Rows without text share fingerprint
     zero.  Rows without an id get the smallest id of their group, null if there is none; repeated rows each get a row.
     """
     rows = settle(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    return rows.join(_components(rows, radius), "fp").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    return rows.join(_components(rows, radius, segments), "fp0").select(
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp0"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 3) -> DataFrame:
-    """``docs`` without all but one document of each group of :func:`near_groups`: the one with the smallest id.
+def drop_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, width: int = 2, radius: int = 24, segments: int = 8
+) -> DataFrame:
+    """``docs`` without all but one document of each group of near copies: the one with the smallest id.
+
+    By default fingerprints have 128 bits.  Texts that share a share J of their shingles differ in about
+    ``128 * acos(2J / (1 + J)) / pi`` of them, which is 19 at J = 0.8; 24 allow for the spread.  Texts that have little in common
+    differ in 64, and to come down to 24 is seven standard deviations off.  Segments have 16 bits: pairs that
+    differ in at most 15 bits always meet; at J = 0.8 a segment differs in one bit at most with a probability of 0.28, so 93 % of
+    such pairs meet, and more of a larger group.
 
     Texts with no word have no shingle to compare and stay.  Of rows with the same id all stay or go together; a
-    row without an id goes where a row with one is in its group.  Texts stay where they are unless the list of what goes is too large to broadcast.
+    row without an id goes where a row with one is in its group.  Texts stay where they are unless the list of what goes is too
+    large to broadcast.
     """
-    rows = settle(fingerprints(docs, id_col, text_col, shingle).filter("fp <> 0"), "fingerprints")
-    grouped = rows.join(_components(rows, radius), "fp")
+    rows = settle(fingerprints(docs, id_col, text_col, shingle, width).filter("fp0 <> 0"), "fingerprints")
+    grouped = rows.join(_components(rows, radius, segments), _names(width))
     gone = settle(grouped.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_gone")).distinct(), "near-copies")
     return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
