@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import decontaminate, exact, langid, packing, simhash
+from panelspark.llm import brown, decontaminate, exact, langid, packing, simhash
 from panelspark.shipping import ship
 from panelspark.tables import table
 
@@ -19,6 +19,14 @@ def held_out(of: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % of == 2, F.lit(False))
 
 
+def op1_brown_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = table(spark, sf_dir, "documents")
+    model, counts = brown.train(docs.filter(~held_out(7)))
+    scored = brown.score(docs, model, counts)
+    return scored.select("doc_id", held_out(7).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -69,6 +77,7 @@ WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
 
 def runners() -> dict[str, Runner]:
     return {
+        "op1_brown_score": op1_brown_score,
         "op2_decontamination": op2_decontamination,
         "op4_language_id": op4_language_id,
         "op5_exact_dedup": op5_exact_dedup,
