@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import brown, decontaminate, exact, langid, packing, simhash
+from panelspark.llm import brown, decontaminate, exact, langid, packing, simhash, toxicity
 from panelspark.shipping import ship
 from panelspark.tables import table
 
@@ -43,6 +43,15 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels table has one category of toxicity and one of quality; the chain goes from the second to the first."""
+    ship(spark)
+    docs = table(spark, sf_dir, "documents")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"), ["quality", "toxic"])
+    found = toxicity.predict(docs, chain)
+    return found.select("doc_id", (F.col("toxic_probability") >= 0.5).alias("toxic"), "toxic_probability", "quality_probability")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, radius=3)
@@ -81,6 +90,7 @@ def runners() -> dict[str, Runner]:
         "op2_decontamination": op2_decontamination,
         "op4_language_id": op4_language_id,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_toxicity": op6_toxicity,
         "op8_simhash_near_dedup": op8_simhash_near_dedup,
         "op10_best_fit_packing": op10_best_fit_packing,
     }
