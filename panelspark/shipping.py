@@ -11,12 +11,17 @@ from pyspark.sql import SparkSession
 _SHIPPED: set[str] = set()
 
 
+#: Rows go to Python workers in batches of about this size, whatever their number, so that long texts cannot fill a worker.
+_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def ship(spark: SparkSession) -> None:
-    """Send the package to the executors, once per application.
+    """Send the package to the executors, once per application, and bound the batches that reach their Python workers.
 
     Task functions are pickled by reference to their module, so workers must be able to import it
     even where the package is not installed.  Spark serves the archive from the driver.
     """
+    spark.conf.set(*_BATCH)
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
