@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 from panelspark.llm.words import SPACE, find_words, ragged
 
 #: Words remembered by a worker; when there are more it forgets all and starts anew, so memory is bounded.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 19
 _SIMPLE = re.compile(r"[!-&(-;=-~À-ÖØ-öø-ÿ]+")
 _PIECES = re.compile(r"[^\W\d_]+|[0-9]|[^\sA-Za-zÀ-ÖØ-öø-ÿ0-9]+")
 #: Byte-level symbols: a byte that is no visible Latin-1 character stands as code point 256 and up.

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 U = np.uint64
 
 SPACE = np.zeros(256, bool)
@@ -175,7 +175,7 @@ class Tally:
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self._parts.append((keys, counts))
         self._waiting += len(keys)
-        if self._waiting > (1 << 20) + 2 * len(self._parts[0][0]):
+        if self._waiting > (1 << 18) + len(self._parts[0][0]):
             self._parts = [self.total()]
             self._waiting = 0
 
