@@ -1,6 +1,6 @@
 """Toxicity by a chain of classifiers: later linear models see the probabilities of earlier categories.
 
-Features are hashed words and word beginnings, weighted by log(1 + count) and scaled to length one.  While training, an earlier
+Features are hashed words and word beginnings, weighted by log(1 + count) and rarity and scaled to length one.  While training, an earlier
 category's probability of a row comes from a model that has not seen this row (out of fold), so later models learn
 how far it can be trusted; for prediction each category has one model fitted on all training rows.
 
@@ -36,7 +36,7 @@ def _letters() -> np.ndarray:
 
 
 def features(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text, index and value of the features of a run of (lower-cased) texts, sorted by the first two."""
+    """Text, index and log(1 + count) of the features of a run of (lower-cased) texts, sorted by the first two."""
     points, at = code_points(data, offsets)
     words = find_words(points, at, _letters()[points])
     with np.errstate(over="ignore"):
@@ -46,9 +46,14 @@ def features(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarr
     of = words.text_of()
     index = np.concatenate([hasher(words.start, words.end), mix(begins)]) % U(size)
     key, count = np.unique(np.concatenate([of, of[long]]) * size + index.astype(np.int64), return_counts=True)
-    text, value = key // size, np.log1p(count)
-    length = np.sqrt(np.bincount(text, value * value, len(offsets) - 1))
-    return text, key % size, value / length[text]
+    return key // size, key % size, np.log1p(count)
+
+
+def scaled(text: np.ndarray, index: np.ndarray, value: np.ndarray, rarity: np.ndarray, n_texts: int) -> np.ndarray:
+    """Values weighted by the rarity of their features, each text scaled to length one."""
+    value = value * rarity[index]
+    length = np.sqrt(np.bincount(text, value * value, n_texts))
+    return value / np.maximum(length, 1e-9)[text]
 
 
 @dataclass
@@ -57,42 +62,59 @@ class Chain:
 
     labels: list[str]
     size: int
+    rarity: np.ndarray
     weights: list[np.ndarray]
     earlier: list[np.ndarray]
     intercepts: list[float]
 
 
-def _vectors(rows: DataFrame, size: int, labels: Sequence[str]) -> DataFrame:
-    """(fold key, labels, features): the training rows as sparse vectors."""
+def _counted(rows: DataFrame, size: int, labels: Sequence[str]) -> DataFrame:
+    """(key, y0, …, index, value): the training rows with their unscaled features."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            index, value, sizes = [], [], []
+            index, value, sizes = [np.zeros(0, int)], [np.zeros(0)], [np.zeros(0, int)]
             for first, end, d, o in slices(*buffer_of(batch.column(1))):
                 text, i, v = features(d, o, size)
                 index.append(i)
                 value.append(v)
                 sizes.append(np.bincount(text, minlength=end - first))
-            at = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32) if sizes else np.zeros(1, np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(x) if x else [])) for x in (index, value)]
+            at = pa.array(np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(at, pa.array(np.concatenate(x))) for x in (index, value)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(batch.column(2 + k) for k in range(len(labels))), lists[0].cast(pa.list_(pa.int32())), lists[1].cast(pa.list_(pa.float64()))],
+                [batch.column(0), *batch.columns[2:], lists[0].cast(pa.list_(pa.int32())), lists[1]],
                 names=["key", *[f"y{k}" for k in range(len(labels))], "index", "value"],
-            )
+            )
 
     ys = ", ".join(f"y{k} double" for k in range(len(labels)))
-    sparse = rows.mapInArrow(run, f"key long, {ys}, index array<int>, value array<double>")
+    return rows.mapInArrow(run, f"key long, {ys}, index array<int>, value array<double>")
+
+
+def _rarity(counted: DataFrame, size: int, least_rows: int) -> np.ndarray:
+    """Log of how rare each feature is; zero for those in fewer than ``least_rows`` training rows, of which nothing can be learnt."""
+    n = counted.count()
+    seen = counted.select(F.explode("index").alias("index")).groupBy("index").count().filter(F.col("count") >= least_rows).toArrow()
+    rarity = np.zeros(size)
+    rarity[seen.column(0).to_numpy()] = np.log((n + 1) / seen.column(1).to_numpy())
+    return rarity
+
+
+def _vectors(counted: DataFrame, rarity: np.ndarray) -> DataFrame:
+    shared, size = counted.sparkSession.sparkContext.broadcast(rarity), len(rarity)
 
     @F.udf(VectorUDT())
     def vector(index, value):
-        return SparseVector(size, index, value)
+        index, value = np.array(index, np.int64), np.array(value, float)
+        kept = shared.value[index] > 0
+        index, value = index[kept], value[kept]
+        return SparseVector(size, index, scaled(np.zeros(len(index), int), index, value, shared.value, 1))
 
-    return sparse.withColumn("features", vector("index", "value")).drop("index", "value")
+    return counted.withColumn("features", vector("index", "value")).drop("index", "value")
 
 
 def train(
     docs: DataFrame, labels: DataFrame, chain: Sequence[str], id_col: str = "doc_id", text_col: str = "text",
-    size: int = 1 << 17, folds: int = 3, sample: int = 20_000, penalty: float = 1e-5,
+    size: int = 1 << 17, folds: int = 3, sample: int = 20_000, penalty: float = 1e-5, least_rows: int = 4,
 ) -> Chain:
     """Fits the categories ``chain`` (columns of ``labels`` with 0 and 1) in this order.
 
@@ -104,19 +126,17 @@ def train(
     known = known.filter(F.pmod(F.xxhash64("_id", F.lit("sample")), F.lit(1 << 30)) < int(share * (1 << 30)))
     # The sample has a proven bound, so the documents need not move to meet it.
     rows = docs.select(F.col(id_col).alias("_id"), F.lower(text_col).alias("text")).join(F.broadcast(known), "_id")
-    data = settle(_vectors(rows.select(F.xxhash64("_id").alias("key"), "text", *[f"_y{k}" for k in range(len(chain))]), size, chain), "toxic-rows")
-    data = data.repartition(8).persist()
-    found = Chain(list(chain), size, [], [], [])
-    try:
-        for k in range(len(chain)):
-            inputs = _with_earlier(data, size, k)
-            _fit_one(found, inputs, k, penalty)
-            if k + 1 < len(chain):
-                parts = [_out_of_fold(inputs, k, fold, folds, penalty) for fold in range(folds)]
-                together = functools.reduce(DataFrame.unionByName, parts)
-                data = settle(together, "toxic-folds")
-    finally:
-        data.unpersist()
+    counted = settle(_counted(rows.select(F.xxhash64("_id").alias("key"), "text", *[f"_y{k}" for k in range(len(chain))]), size, chain), "toxic-rows")
+    found = Chain(list(chain), size, _rarity(counted, size, least_rows), [], [], [])
+    data = settle(_vectors(counted, found.rarity), "toxic-vectors")
+    for k in range(len(chain)):
+        # Fits go over the rows many times: a few partitions in memory, which Spark builds anew if they are lost.
+        inputs = _with_earlier(data, size, k).coalesce(8).persist()
+        _fit_one(found, inputs, k, penalty)
+        if k + 1 < len(chain):
+            parts = [_out_of_fold(inputs, k, fold, folds, penalty) for fold in range(folds)]
+            data = settle(functools.reduce(DataFrame.unionByName, parts), "toxic-folds")
+        inputs.unpersist()
     return found
 
 
@@ -177,6 +197,7 @@ def probabilities(spark: SparkSession, chain: Chain, text: Column | str) -> Colu
             done = [np.zeros((0, len(c.labels)))]
             for first, end, d, o in slices(*buffer_of(batch)):
                 text, index, value = features(d, o, c.size)
+                value = scaled(text, index, value, c.rarity, end - first)
                 p = np.zeros((end - first, len(c.labels)))
                 for k in range(len(c.labels)):
                     z = np.bincount(text, c.weights[k][index] * value, end - first) + c.intercepts[k] + p[:, :k] @ c.earlier[k]
