@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import brown, decontaminate, exact, langid, packing, simhash, toxicity
+from panelspark.llm import brown, decontaminate, exact, langid, licenses, packing, simhash, tokencount, toxicity
 from panelspark.shipping import ship
-from panelspark.tables import table
+from panelspark.tables import shared_dir, table
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (F.col("toxic_probability") >= 0.5).alias("toxic"), "toxic_probability", "quality_probability")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return licenses.find_licenses(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, radius=3)
@@ -64,6 +69,14 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the documents as flat token files, then counts by the files alone."""
+    ship(spark)
+    path, end_id = shared_dir(spark, "flat-tokens"), 49407
+    tokencount.write_flat(table(spark, sf_dir, "documents"), tokenizer_path(), path, end_id)
+    return tokencount.count_tokens(tokencount.read_blocks(spark, path, end_id))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048, end_id=0)
@@ -91,7 +104,9 @@ def runners() -> dict[str, Runner]:
         "op4_language_id": op4_language_id,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_toxicity": op6_toxicity,
+        "op7_license_scan": op7_license_scan,
         "op8_simhash_near_dedup": op8_simhash_near_dedup,
+        "op9_token_counts": op9_token_counts,
         "op10_best_fit_packing": op10_best_fit_packing,
     }
 

@@ -25,8 +25,10 @@ class WordEncoder:
     there the ids of a text are those of its words, one after the other.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, literal: bool = False) -> None:
+        """``literal``: strings of special tokens are ordinary text."""
         self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer.encode_special_tokens = literal
         self._model = self._tokenizer.model
         self._forget()
 
@@ -77,11 +79,11 @@ class WordEncoder:
         return self._ids[ragged(self._first[slot], counts)], np.diff(total)
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
 
 
-def word_encoder(path: str) -> WordEncoder:
+def word_encoder(path: str, literal: bool = False) -> WordEncoder:
     """The worker's encoder for a tokenizer file; it keeps what it has learnt from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    if (path, literal) not in _ENCODERS:
+        _ENCODERS[path, literal] = WordEncoder(path, literal)
+    return _ENCODERS[path, literal]

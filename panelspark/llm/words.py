@@ -189,3 +189,20 @@ class Tally:
         keys = keys[order]
         first = np.flatnonzero(np.concatenate([[len(keys) > 0], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
         return keys[first], np.add.reduceat(counts[order], first) if len(first) else np.zeros(0, np.int64)
+
+
+def sliding(values: np.ndarray, window: int, least: bool) -> np.ndarray:
+    """Smallest (or largest) value of every full window, by doubling."""
+    pick, width = (np.minimum if least else np.maximum), 1
+    while 2 * width <= window:
+        values, width = pick(values[:-width], values[width:]), 2 * width
+    return pick(values[: len(values) - (window - width)], values[window - width :]) if width < window else values
+
+
+def winnowed(h: np.ndarray, window: int) -> np.ndarray:
+    """Marks the values that are smallest in some window; equal stretches of ``window`` values choose the same of them."""
+    if len(h) < window:
+        return h == h.min() if len(h) else np.zeros(0, bool)
+    low = sliding(h, window, True)
+    edge = np.zeros(window - 1, h.dtype)
+    return sliding(np.concatenate([edge, low, edge]), window, False) == h
