@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import brown, decontaminate, exact, langid, licenses, packing, simhash, tokencount, toxicity
+from panelspark.llm import brown, decontaminate, exact, langid, licenses, packing, repeats, simhash, tokencount, toxicity
 from panelspark.shipping import ship
 from panelspark.tables import shared_dir, table
 
@@ -32,6 +32,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"), length=200)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = table(spark, sf_dir, "documents")
@@ -101,6 +107,7 @@ def runners() -> dict[str, Runner]:
     return {
         "op1_brown_score": op1_brown_score,
         "op2_decontamination": op2_decontamination,
+        "op3_repeated_strings": op3_repeated_strings,
         "op4_language_id": op4_language_id,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_toxicity": op6_toxicity,
