@@ -31,7 +31,7 @@ def components(links: DataFrame) -> DataFrame:
         moved = both.join(_nearest(both), F.col("a") == F.col("key")).filter("b > a").select(
             F.col("b").alias("a"), F.least("least", F.col("a")).alias("b")
         )
-        large = settle(moved.filter("a <> b").distinct(), "large-star")
+        large = moved.filter("a <> b").distinct()
         # Small star: a node and its smaller neighbours move to the smallest of them.
         moved = large.join(_nearest(large), F.col("a") == F.col("key"))
         pairs = moved.select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("least").alias("b")), F.struct("a", F.col("least").alias("b")))).alias("e"))
