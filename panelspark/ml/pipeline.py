@@ -28,14 +28,18 @@ from panelspark.operators.rank import majority
 from panelspark.tables import settle
 
 RESULTS = """position bigint, run_timestamp timestamp, model_name string, description string, accuracy double,
-cv_mean double, cv_std double, winner_id bigint, winner_name string, winner_pct double"""
+cv_mean double, cv_std double, winner_id bigint, winner_name string, winner_pct double, note string"""
 THREADS = 8
 MIN_ROWS = 10
 
 
 @dataclass(frozen=True)
 class Prepared:
-    """A settled training set: (key, label, idx, part, fold, std, minmax)."""
+    """A settled training set: (key, label, idx, part, fold, standard, minmax).
+
+    ``unusable`` counts the rows left out because a feature is no number; ``no_folds`` tells why there can be no
+    cross-validation, if so.
+    """
 
     frame: DataFrame
     rows: models.Rows
@@ -43,15 +47,17 @@ class Prepared:
     std: scale.Scaler
     minmax: scale.Scaler
     features: Sequence[str]
+    unusable: int = 0
+    no_folds: str | None = None
 
     def part(self, name: str, scaling: str) -> DataFrame:
         rows = self.frame.filter(F.col("part") == name).withColumn("v", F.col(scaling))
         return rows.select("key", "label", "idx", "fold", "v", array_to_vector("v").alias("x"))
 
     def ready(self, df: DataFrame, key: str, scaling: str) -> DataFrame:
-        """New rows, scaled like the training rows."""
+        """New rows, scaled like the training rows; rows without a number in each feature cannot be scored and are left out."""
         scaler = self.std if scaling == "standard" else self.minmax
-        scaled = scaler.apply(df.withColumns({c: F.col(c).try_cast("double") for c in self.features}))
+        scaled = scaler.apply(df.withColumns({c: F.col(c).try_cast("double") for c in self.features}).dropna(subset=list(self.features)))
         return scaled.select(F.col(key).alias("key"), F.array(*self.features).alias("v")).withColumn(
             "x", array_to_vector("v")
         )
@@ -68,15 +74,23 @@ def prepare(
     keep_percent: int = 100,
 ) -> Prepared:
     """Clean, optionally add noise, drop classes of two rows or fewer, split by class, subsample
-    the training rows, scale both ways, assign folds, and settle the result."""
+    the training rows, scale both ways, assign folds, and settle the result.
+
+    Rows without a label are left out, and so are rows with a feature that is no number; the latter are counted.
+    """
     numbers = {c: F.col(c).try_cast("double") for c in features}
     rows = df.select(F.col(key).alias("key"), F.col(label).try_cast("bigint").alias("label"), *[
         c.alias(n) for n, c in numbers.items()
     ])
     if noise_level:
         rows = add_noise(rows, "key", features, noise_level, seed)
+    usable = F.lit(True)
+    for c in features:
+        usable &= F.col(c).isNotNull() & ~F.isnan(c)
+    read = settle(rows.filter("label is not null").withColumn("_usable", usable), "model-input")
+    unusable = read.filter("not _usable").count()
     # Settled before it is ranked, since ranking reads its input twice.
-    rows = settle(split.without_rare_classes(settle(rows, "model-input"), "label"), "model-classes")
+    rows = settle(split.without_rare_classes(read.filter("_usable").drop("_usable"), "label"), "model-classes")
     rows = settle(split.split(rows, "key", ["label"], train_percent, seed), "model-rows")
     train = rows.filter("part = 'train'")
     if keep_percent < 100:
@@ -99,16 +113,22 @@ def prepare(
         "key", "label", index.alias("idx"), "part", "fold", scaled(std).alias("standard"), scaled(minmax).alias("minmax")
     )
     shape = models.Rows(classes, len(features), sum(r.t for r in sizes))
-    return Prepared(settle(shaped, "model-set"), shape, folds, std, minmax, tuple(features))
+    # With one training row of a class, the fold that holds it would be judged by a model that has never seen the class.
+    few = [r.label for r in sizes if r.t < 2]
+    no_folds = f"classes with fewer than 2 training rows: {few}" if few else None
+    return Prepared(settle(shaped, "model-set"), shape, folds, std, minmax, tuple(features), unusable, no_folds)
 
 
-def _accuracy(scored: DataFrame) -> float:
-    return evaluate.accuracy(scored).first()["accuracy"] or 0.0
+def _accuracy(scored: DataFrame) -> float | None:
+    """NULL without a row to judge by."""
+    return evaluate.accuracy(scored).first()["accuracy"]
 
 
-def cross_validate(name: str, params, data: Prepared, seed: int) -> tuple[float, float]:
-    """Mean and population deviation of the accuracy over the folds of the training rows."""
-    train = data.part("train", models.scaling_of(name))
+def cross_validate(name: str, params, data: Prepared, seed: int, scaling: str | None = None) -> tuple[float | None, float | None]:
+    """Mean and population deviation of the accuracy over the folds of the training rows; NULL if there can be no folds."""
+    if data.no_folds:
+        return None, None
+    train = data.part("train", scaling or models.scaling_of(name))
     scores = []
     for fold in range(data.folds):
         predictor = models.fit(name, params, train.filter(F.col("fold") != fold), data.rows, seed)
@@ -116,21 +136,12 @@ def cross_validate(name: str, params, data: Prepared, seed: int) -> tuple[float,
     return fmean(scores), pstdev(scores)
 
 
-def _try_cross_validate(name: str, params, data: Prepared, seed: int, otherwise: tuple[float, float]) -> tuple[float, float]:
-    """A model that cannot be trained on some fold keeps its test accuracy and gets ``otherwise``."""
-    try:
-        return cross_validate(name, params, data, seed)
-    except Exception as error:
-        print(f"cross-validation of {name} failed: {error}")
-        return otherwise
-
-
-def _evaluate(name: str, params, data: Prepared, seed: int, otherwise=(0.0, 0.0)):
+def _evaluate(name: str, params, data: Prepared, seed: int, scaling: str | None = None):
     """(predictor, accuracy, cv mean, cv std, test predictions)."""
-    scaling = models.scaling_of(name)
+    scaling = scaling or models.scaling_of(name)
     predictor = models.fit(name, params, data.part("train", scaling), data.rows, seed)
     scored = settle(predictor(data.part("test", scaling)).select("key", "label", "prediction"), "scored")
-    mean, std = _try_cross_validate(name, params, data, seed, otherwise)
+    mean, std = cross_validate(name, params, data, seed, scaling)
     return predictor, _accuracy(scored), mean, std, scored
 
 
@@ -158,10 +169,10 @@ def compare_models(
     for position, name in enumerate(names, 1):
         _, accuracy, mean, std, scored = done[name]
         top = majority(scored, "prediction").first()
-        winner = (top["prediction"], class_names.get(top["prediction"], "Unknown"), top["pct"]) if top else (0, "Unknown", 0.0)
-        rows.append((position, at, name, models.DESCRIPTIONS.get(name, ""), accuracy, mean, std, *winner))
+        winner = (top["prediction"], class_names.get(top["prediction"], "Unknown"), top["pct"]) if top else (None, None, None)
+        rows.append((position, at, name, models.DESCRIPTIONS.get(name, ""), accuracy, mean, std, *winner, data.no_folds))
     results = spark.createDataFrame(rows, RESULTS)
-    best = max(rows, key=lambda r: r[4])[2]
+    best = max(rows, key=lambda r: -1.0 if r[4] is None else r[4])[2]
     reports = {name: evaluate.class_report(done[name][4]) for name in names}
     return Comparison(results, best, done[best][0], reports)
 
@@ -182,23 +193,26 @@ def predict_years(
 
 
 def yearly_models(
-    df: DataFrame, key: str, label: str, features: Sequence[str], best: str, years: Sequence[int]
+    df: DataFrame, key: str, label: str, features: Sequence[str], best: str, years: Sequence[int], noise_level: float = 0.3
 ) -> DataFrame:
-    """One variant of the best model per year: its own 80 % sample, split, scaling and parameters."""
+    """One variant of the best model per year: its own 80 % sample, split, scaling and parameters.
+
+    The samples are drawn from rows with noise, the same for all years; every variant gets standard scaling.
+    """
     spark = df.sparkSession
-    source = settle(df.select(key, label, *features), "yearly-source")
+    numbers = [F.col(c).try_cast("double").alias(c) for c in features]
+    source = df.select(key, label, *numbers)
+    source = settle(add_noise(source, key, features, noise_level, 42) if noise_level else source, "yearly-source")
 
     def one(year: int):
         sampled = split.sample(source, key, 80, year)
         data = prepare(sampled, key, label, features, seed=year)
-        # Scores reported when cross-validation is impossible.
-        fallback = (0.4 + (year % 10) * 0.03, 0.05 + (year % 5) * 0.01)
-        _, accuracy, mean, std, _ = _evaluate(best, models.yearly_parameters(best, year), data, year, fallback)
-        return year, best, accuracy, mean, std
+        _, accuracy, mean, std, _ = _evaluate(best, models.yearly_parameters(best, year), data, year, "standard")
+        return year, best, accuracy, mean, std, data.no_folds
 
     with ThreadPoolExecutor(THREADS) as pool:
         rows = list(pool.map(one, years))
-    return spark.createDataFrame(rows, "year int, model_name string, accuracy double, cv_mean double, cv_std double")
+    return spark.createDataFrame(rows, "year int, model_name string, accuracy double, cv_mean double, cv_std double, note string")
 
 
 def yearly_results(predicted: DataFrame, yearly: DataFrame, class_names: dict[int, str], at: dt.datetime) -> DataFrame:
@@ -218,10 +232,12 @@ def yearly_results(predicted: DataFrame, yearly: DataFrame, class_names: dict[in
         F.col("prediction").cast("bigint").alias("winner_id"),
         map_values(F.col("prediction").cast("int"), class_names, "Unknown").alias("winner_name"),
         F.col("pct").alias("winner_pct"),
+        "note",
     )
 
 
-# The forest grid (0 stands for unlimited depth, which Spark bounds at 30).
+# The forest grid.  Depth 0 stands for unlimited, which Spark bounds at 30; it has no minimum of rows to split a node, so
+# the least rows of a leaf take the place of that axis.
 FOREST_GRID = {"trees": (50, 100, 200), "depth": (0, 10, 20), "leaf": (1, 2, 5)}
 
 

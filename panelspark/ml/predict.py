@@ -23,14 +23,9 @@ def check_years(years: Sequence[int], valid: Iterable[int], labelled: Iterable[i
 def keep_chosen_years(
     df: DataFrame, key: str, years: Sequence[int], valid: Iterable[int], labelled: Iterable[int]
 ) -> DataFrame:
-    """Rows of the chosen years; all rows when none of them occurs.
-
-    Whether any row matches is one scalar subquery, so the choice stays inside the plan.
-    """
+    """Rows of the chosen years; none when none of them occurs."""
     check_years(years, valid, labelled)
-    chosen = F.coalesce(panel_key_year(key).isin(list(years)), F.lit(False))
-    any_match = df.agg(F.coalesce(F.bool_or(chosen), F.lit(False)).alias("any")).scalar()
-    return df.filter(chosen | ~any_match)
+    return df.filter(panel_key_year(key).isin(list(years)))
 
 
 def feature_rows(df: DataFrame, key: str, label: str, features: Sequence[str]) -> DataFrame:
@@ -39,8 +34,8 @@ def feature_rows(df: DataFrame, key: str, label: str, features: Sequence[str]) -
     return df.select(key, F.col(label).try_cast("bigint").alias("label"), *numbers)
 
 
-def first_features(df: DataFrame, label: str, key: str, at_most: int = 3) -> list[str]:
-    """The first columns that are neither label nor key."""
+def first_features(df: DataFrame, label: str, key: str, at_most: int | None = None) -> list[str]:
+    """The columns that are neither label nor key: all, or the first ``at_most``."""
     return [c for c in df.columns if c not in (label, key)][:at_most]
 
 

@@ -43,9 +43,9 @@ def folds(df: DataFrame, key: str, label: str, k: int, seed: int = 42) -> DataFr
 
 
 def without_rare_classes(df: DataFrame, label: str, more_than: int = 2) -> DataFrame:
-    """Drop the rows of classes with ``more_than`` samples or fewer."""
+    """Keep the rows of classes with more than ``more_than`` samples; rows without a label are no class and go."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    return df.join(counts.filter(F.col("_n") <= more_than).select(label), label, "left_anti")
+    return df.join(counts.filter(F.col("_n") > more_than).select(label), label, "left_semi")
 
 
 def fold_count(smallest_class: int) -> int:

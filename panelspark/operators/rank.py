@@ -73,10 +73,10 @@ def majority(
     return picked.withColumn("pct", F.round(F.col("n") * 100.0 / F.col("n_rows"), digits))
 
 
-def upsert_latest(base: DataFrame, delta: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
-    """Insert-or-update: the newest version of each key wins, the delta on equal versions."""
+def upsert_latest(base: DataFrame, delta: DataFrame, keys: Sequence[str], version: str, ties: Sequence[str]) -> DataFrame:
+    """Insert-or-update: the newest version of each key wins, the delta on equal versions, the smallest ``ties`` among its rows."""
     stacked = base.withColumn("_from", F.lit(0)).unionByName(delta.withColumn("_from", F.lit(1)))
-    order = [F.desc_nulls_last(version), F.desc("_from")]
+    order = [F.desc_nulls_last(version), F.desc("_from"), *[F.asc_nulls_last(t) for t in ties]]
     return top_per_group(stacked, keys, order).drop("_from")
 
 

@@ -35,9 +35,12 @@ def month_columns_to_years(
     year: str = "year",
     total: str = "total",
     years: range | None = None,
+    keep_empty: bool = True,
 ) -> DataFrame:
     """Sum ``_YYYY_MM`` columns over all rows of a key into one row per (key, year).
 
+    A year without a single number gets 0, or no row at all without ``keep_empty``; numbers that add up to 0 always stay.
+
     The months of a year are added inside the row and the rows inside the map tasks,
     so only one number per key and year is shuffled.
     """
@@ -46,12 +49,14 @@ def month_columns_to_years(
         if found := re.match(pattern, column):
             if years is None or int(found.group(1)) in years:
                 months.setdefault(int(found.group(1)), []).append(column)
-    sums = [
-        F.sum(sum((F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)) for c in columns), F.lit(0.0))).alias(str(y))
-        for y, columns in sorted(months.items())
-    ]
-    wide = df.groupBy(*keys).agg(*sums)
+    def of_year(columns: list[str]) -> Column:
+        values = [F.col(c).try_cast("double") for c in columns]
+        some = F.coalesce(*values).isNotNull()
+        return F.sum(F.when(some, sum((F.coalesce(v, F.lit(0.0)) for v in values), F.lit(0.0))))
+
+    wide = df.groupBy(*keys).agg(*[of_year(columns).alias(str(y)) for y, columns in sorted(months.items())])
     long = wide.unpivot(list(keys), [str(y) for y in sorted(months)], year, total)
+    long = long.fillna(0.0, [total]) if keep_empty else long.filter(F.col(total).isNotNull())
     return long.withColumn(year, F.col(year).cast("int"))
 
 

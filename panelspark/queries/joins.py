@@ -77,11 +77,11 @@ def anti_missing_units(spark, sf):
     return add_missing_units(seen, customers, "id", {"year": year})
 
 
-@query("dedupe_rows", """SELECT DISTINCT l_orderkey, l_partkey, l_linenumber::BIGINT AS l_linenumber, l_quantity,
-    l_extendedprice, l_returnflag FROM lineitem""")
+@query("dedupe_rows", """SELECT DISTINCT * REPLACE (l_linenumber::BIGINT AS l_linenumber,
+    strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate) FROM lineitem""")
 def dedupe_rows(spark, sf):
-    lines = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_partkey", big("l_linenumber"), "l_quantity", "l_extendedprice", "l_returnflag"
+    lines = table(spark, sf, "lineitem").withColumns(
+        {"l_linenumber": big("l_linenumber"), "l_shipdate": F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")}
     )
     return distinct_rows(lines.union(lines))
 
@@ -109,7 +109,7 @@ def upsert_latest_query(spark, sf):
     changed = shaped(orders.filter(priority == "1-URGENT"), key, F.lit("X"), F.round(price * 2, 2), 2)
     stale = shaped(orders.filter(priority == "2-HIGH"), key, F.lit("stale"), F.lit(0.0), 0)
     new = shaped(orders.filter(priority == "5-LOW"), -1 - key, F.lit("new"), price, 1)
-    return upsert_latest(base, changed.unionByName(stale).unionByName(new), ["id"], "version")
+    return upsert_latest(base, changed.unionByName(stale).unionByName(new), ["id"], "version", ["status", "price"])
 
 
 @query(

@@ -29,10 +29,10 @@ def _labels(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "ml_rare_class_filter",
     f"""WITH {_LABELLED} SELECT id, label FROM labelled
-    WHERE label IN (SELECT label FROM labelled GROUP BY 1 HAVING count(*) > 20)""",
+    WHERE label IN (SELECT label FROM labelled GROUP BY 1 HAVING count(*) > 2)""",
 )
 def ml_rare_class_filter(spark, sf):
-    return split.without_rare_classes(_labels(spark, sf), "label", more_than=20)
+    return split.without_rare_classes(_labels(spark, sf), "label", more_than=2)
 
 
 @query("ml_stratified_split", f"WITH {_LABELLED}, {_PARTS} SELECT id, label, part FROM parts")
@@ -231,9 +231,9 @@ def ml_best(spark, sf):
       JOIN d_edu ON education_id = d_edu.id JOIN d_dem ON demography_id = d_dem.id JOIN d_tec ON technology_id = d_tec.id""",
 )
 def ml_features(spark, sf):
-    """Label and the first three indicators as numbers."""
+    """Label and the first three indicators as numbers (this operator's own choice of columns)."""
     rows, _ = analysis_sets(spark, sf)
-    return predict.feature_rows(rows, "panel_key", "politics", predict.first_features(rows, "politics", "panel_key"))
+    return predict.feature_rows(rows, "panel_key", "politics", predict.first_features(rows, "politics", "panel_key", at_most=3))
 
 
 _SCORED = f"""WITH {FACT},
@@ -330,16 +330,14 @@ def ml_model_results(spark, sf):
 def ml_grid_search(spark, sf):
     from panelspark.ml import pipeline
 
-    grid = {"trees": (5, 10), "depth": (2, 4), "leaf": (1, 5)}
-    return pipeline.grid_search(_prepared(spark, sf, train_percent=70), grid)[0]
+    return pipeline.grid_search(_prepared(spark, sf, train_percent=70))[0]
 
 
 @query("ml_importances")
 def ml_importances(spark, sf):
     from panelspark.ml import pipeline
 
-    grid = {"trees": (10,), "depth": (2, 4), "leaf": (1,)}
-    best = pipeline.grid_search(_prepared(spark, sf, train_percent=70), grid)[1]
+    best = pipeline.grid_search(_prepared(spark, sf, train_percent=70))[1]
     return pipeline.importances(best, CUSTOMER_FEATURES, spark)
 
 
@@ -352,8 +350,9 @@ def ml_year_models(spark, sf):
 
     labelled, unlabelled = settle_all(dict(zip(("labelled", "unlabelled"), analysis_sets(spark, sf)))).values()
     data = pipeline.prepare(labelled, "panel_key", "politics", PANEL_FEATURES)
-    compared = pipeline.compare_models(data, ["Decision Tree", "Random Forest"], SEGMENT_CLASSES)
-    years, valid, known = [1997, 1999], range(1995, 2002), {1996, 1998, 2000}
+    compared = pipeline.compare_models(data, class_names=SEGMENT_CLASSES)
+    valid, known = range(1995, 2002), {1996, 1998, 2000}
+    years = [y for y in valid if y not in known]
     predicted = pipeline.predict_years(compared, data, unlabelled, "panel_key", years, valid, known)
     yearly = pipeline.yearly_models(labelled, "panel_key", "politics", PANEL_FEATURES, compared.best, years)
     return pipeline.yearly_results(predicted, yearly, SEGMENT_CLASSES, datetime(1970, 1, 1))

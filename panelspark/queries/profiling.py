@@ -9,11 +9,14 @@ from panelspark.queries.base import big
 from panelspark.queries.registry import query
 from panelspark.tables import table
 
-LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+# All numeric columns of the two tables.
+LINE_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+ORDER_NUMBERS = ["o_orderkey", "o_custkey", "o_totalprice"]
 
 
 def _union(template: str, columns) -> str:
-    return "\nUNION ALL ".join(template.format(c=c) for c in columns)
+    """One row per column; ``{v}`` is its value as a double."""
+    return "\nUNION ALL ".join(template.format(c=c, v=f"{c}::DOUBLE") for c in columns)
 
 
 @query(
@@ -21,28 +24,25 @@ def _union(template: str, columns) -> str:
     "\nUNION ALL ".join(
         f"SELECT '{name}' AS \"column\", {i}::BIGINT AS position, '{kind}' AS type, count(*) AS n_rows, count({name}) AS n_values FROM j"
         for i, (name, kind) in enumerate(
-            [("doc_id", "bigint"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint"), ("quality", "int"), ("toxic", "int")]
+            [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint"), ("quality", "int"), ("toxic", "int")]
         )
-    ).join(["WITH j AS (SELECT doc_id, lang, source, n_chars, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)) ", ""]),
+    ).join(["WITH j AS (SELECT doc_id, text, lang, source, n_chars, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)) ", ""]),
 )
 def profile_shape(spark, sf):
     return profile.shape(_documents(spark, sf))
 
 
 def _documents(spark, sf):
-    documents = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
-    return documents.join(table(spark, sf, "labels"), "doc_id", "left").select(
-        "doc_id", "lang", "source", "n_chars", "quality", "toxic"
-    )
+    return table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
 
 
 @query(
     "profile_missing",
-    "WITH j AS (SELECT doc_id, lang, source, n_chars, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)) "
+    "WITH j AS (SELECT doc_id, text, lang, source, n_chars, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)) "
     + _union(
         "SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS n_missing, "
         "round(count(*) FILTER ({c} IS NULL) * 100.0 / count(*), 4) AS pct_missing FROM j",
-        ["doc_id", "lang", "source", "n_chars", "quality", "toxic"],
+        ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"],
     ),
 )
 def profile_missing(spark, sf):
@@ -52,8 +52,8 @@ def profile_missing(spark, sf):
 @query(
     "profile_summary",
     _union(
-        "SELECT '{c}' AS \"column\", count(*) AS n_rows, count(DISTINCT {c}) AS n_distinct, round(min({c}), 6) AS min_value, "
-        "round(max({c}), 6) AS max_value FROM lineitem",
+        "SELECT '{c}' AS \"column\", count(*) AS n_rows, count(DISTINCT {c}) AS n_distinct, round(min({v}), 6) AS min_value, "
+        "round(max({v}), 6) AS max_value FROM lineitem",
         LINE_NUMBERS,
     ),
 )
@@ -66,9 +66,9 @@ def profile_summary(spark, sf):
 @query(
     "profile_describe",
     _union(
-        "SELECT '{c}' AS \"column\", count({c}) AS n, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, "
-        "round(min({c}), 4) AS min, round(quantile_cont({c}, 0.25), 4) AS p25, round(quantile_cont({c}, 0.5), 4) AS p50, "
-        "round(quantile_cont({c}, 0.75), 4) AS p75, round(max({c}), 4) AS max FROM lineitem",
+        "SELECT '{c}' AS \"column\", count({c}) AS n, round(avg({v}), 4) AS mean, round(stddev_samp({v}), 4) AS std, "
+        "round(min({v}), 4) AS min, round(quantile_cont({v}, 0.25), 4) AS p25, round(quantile_cont({v}, 0.5), 4) AS p50, "
+        "round(quantile_cont({v}, 0.75), 4) AS p75, round(max({v}), 4) AS max FROM lineitem",
         LINE_NUMBERS,
     ),
 )
@@ -79,14 +79,14 @@ def profile_describe(spark, sf):
 @query(
     "profile_describe_orders",
     _union(
-        "SELECT '{c}' AS \"column\", count({c}) AS n, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, "
-        "round(min({c}), 4) AS min, round(quantile_cont({c}, 0.25), 4) AS p25, round(quantile_cont({c}, 0.5), 4) AS p50, "
-        "round(quantile_cont({c}, 0.75), 4) AS p75, round(max({c}), 4) AS max FROM orders",
-        ["o_totalprice", "o_custkey"],
-    ).replace("(o_custkey", "(o_custkey::DOUBLE"),
+        "SELECT '{c}' AS \"column\", count({c}) AS n, round(avg({v}), 4) AS mean, round(stddev_samp({v}), 4) AS std, "
+        "round(min({v}), 4) AS min, round(quantile_cont({v}, 0.25), 4) AS p25, round(quantile_cont({v}, 0.5), 4) AS p50, "
+        "round(quantile_cont({v}, 0.75), 4) AS p75, round(max({v}), 4) AS max FROM orders",
+        ORDER_NUMBERS,
+    ),
 )
 def profile_describe_orders(spark, sf):
-    return profile.describe(table(spark, sf, "orders"), ["o_totalprice", "o_custkey"])
+    return profile.describe(table(spark, sf, "orders"), ORDER_NUMBERS)
 
 
 @query(

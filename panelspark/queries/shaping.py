@@ -47,9 +47,7 @@ def unpivot_month_year(spark, sf):
     months = [f"_{y}_{m:02d}" for y in range(first, last + 1) for m in range(1, 13)]
     sheets = to_wide(lines, ["s_suppkey"], "month", months, F.sum("l_quantity"))
     supplier = table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("unit"))
-    years = month_columns_to_years(sheets.join(supplier, "s_suppkey"), ["unit"])
-    # A year without any line has no row in the source either.
-    return years.filter(F.col("total") > 0).select(big("unit"), big("year"), "total")
+    return month_columns_to_years(sheets.join(supplier, "s_suppkey"), ["unit"], keep_empty=False).select(big("unit"), big("year"), "total")
 
 
 @query(

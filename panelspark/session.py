@@ -22,7 +22,7 @@ def scale_settings(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
         "spark.sql.files.maxPartitionBytes": str(2 * PARTITION_BYTES),
-        "spark.sql.shuffle.partitions": str(min(partitions, 100_000)),
+        "spark.sql.shuffle.partitions": str(partitions),
     }
 
 

@@ -33,9 +33,9 @@ def test_majority_uses_weights(spark, rows):
 def test_upsert_is_idempotent(spark, rows):
     base = spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "k int, v int, x string")
     delta = spark.createDataFrame([(2, 1, "B"), (1, 0, "old"), (3, 1, "c")], "k int, v int, x string")
-    once = rank.upsert_latest(base, delta, ["k"], "v")
+    once = rank.upsert_latest(base, delta, ["k"], "v", ["x"])
     assert rows(once) == [(1, 1, "a"), (2, 1, "B"), (3, 1, "c")]
-    assert rows(rank.upsert_latest(once, delta, ["k"], "v")) == rows(once)
+    assert rows(rank.upsert_latest(once, delta, ["k"], "v", ["x"])) == rows(once)
 
 
 def test_map_values_defaults(spark):
