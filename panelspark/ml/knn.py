@@ -1,28 +1,30 @@
 """Exact k-nearest neighbours as a partitioned join.
 
-Training rows are assigned to the nearest of a few pivots.  Distances to the pivots bound, for
-every query row, how far its k-th neighbour can be and how near any row of a cell can be
-(triangle inequality), so a query row visits only the cells that may hold one of its
-neighbours.  Cells and queries are cut into blocks of bounded size; one task compares one block
-of queries with one block of training rows and emits the k best per query, which are merged by
-a group limit.  Nothing is capped: a cell that holds a third of the rows simply has more blocks.
+Training rows are assigned to the nearest of about sqrt(n) pivots.  A first pass compares every query row with its nearest
+cells only, just enough of them to hold k rows; its k-th distance there bounds how far any neighbour can be.  A second
+pass visits the other cells that may hold a nearer row (triangle inequality).  Cells and queries are cut into blocks of
+bounded size; one task compares one block of queries with one block of training rows and emits the k best per query, which
+are merged by a group limit.  Training rows are copied only to blocks of queries that visit their cell.  Nothing is capped: a
+cell that holds a third of the rows simply has more blocks.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping
 
 import numpy as np
 import pandas as pd
+from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from panelspark.operators.rank import top_per_group
+from panelspark.shipping import ship
 from panelspark.tables import settle
 
 BLOCK_ROWS = 4096
-MAX_PIVOTS = 64
 _SLAB = 16  # query rows compared at once inside a task
 
 
@@ -52,76 +54,58 @@ def _nearest_pivot(pivots: np.ndarray, metric: str):
     return nearest_pivot
 
 
-def _cells_to_visit(pivots: np.ndarray, cells: dict[int, tuple[float, float, list[float]]], k: int, metric: str):
-    ids = np.array(sorted(cells))
-    near = np.array([cells[c][0] for c in ids])
-    far = np.array([cells[c][1] for c in ids])
-    owners = np.concatenate([np.full(len(cells[c][2]), i) for i, c in enumerate(ids)])
-    reaches = np.concatenate([cells[c][2] for c in ids])
+def _nearest_cells(pivots: np.ndarray, ids: np.ndarray, sizes: np.ndarray, k: int, metric: str):
+    """The nearest cells of a row, as many as it takes to hold ``k`` rows."""
 
     @F.pandas_udf(ArrayType(IntegerType()))
-    def cells_to_visit(vectors: pd.Series) -> pd.Series:
-        d = _distances(_matrix(vectors), pivots[ids], metric)
-        reachable = d[:, owners] + reaches
-        limit = np.sort(reachable, axis=1)[:, k - 1] if reachable.shape[1] >= k else np.full(len(d), np.inf)
-        closest = np.maximum(np.maximum(d - far, near - d), 0.0)
-        # The margin keeps rounding in the bounds from hiding a neighbour at exactly the limit.
-        keep = closest <= (limit * (1 + 1e-9) + 1e-12)[:, None]
-        return pd.Series([ids[row].astype("int32") for row in keep])
+    def nearest_cells(vectors: pd.Series) -> pd.Series:
+        order = np.argsort(_distances(_matrix(vectors), pivots[ids], metric), axis=1, kind="stable")
+        enough = (np.cumsum(sizes[order], axis=1) < k).sum(axis=1) + 1
+        return pd.Series([ids[row[:n]].astype("int32") for row, n in zip(order, enough)])
 
-    return cells_to_visit
+    return nearest_cells
 
 
-def neighbours(
-    train: DataFrame, queries: DataFrame, key: str, vector: str, label: str, k: int, metric: str = "manhattan"
-) -> DataFrame:
-    """(key, neighbour, label, distance, position) of the k nearest training rows of every query row.
+def _other_cells(pivots: np.ndarray, ids: np.ndarray, near: np.ndarray, far: np.ndarray, metric: str):
+    """The cells not visited yet that may hold a row within the limit."""
 
-    ``metric`` is "manhattan" or "euclidean"; equal distances are ordered by the neighbour's key.
-    """
-    if metric not in ("manhattan", "euclidean"):
-        raise ValueError(f"unknown metric {metric!r}")
-    rows = train.select(F.col(key).alias("neighbour"), F.col(label).alias("label"), F.col(vector).alias("v"))
-    sought = queries.select(F.col(key).alias("key"), F.col(vector).alias("q"))
-    n_train, n_query = rows.count(), sought.count()
-    chunks = max(1, math.ceil(n_query / BLOCK_ROWS))
+    @F.pandas_udf(ArrayType(IntegerType()))
+    def other_cells(vectors: pd.Series, visited: pd.Series, limit: pd.Series) -> pd.Series:
+        d = _distances(_matrix(vectors), pivots[ids], metric)
+        closest = np.maximum(np.maximum(d - far, near - d), 0.0)
+        # The margin keeps rounding in the bounds from hiding a neighbour at exactly the limit.
+        keep = closest <= (limit.fillna(np.inf).to_numpy() * (1 + 1e-9) + 1e-12)[:, None]
+        return pd.Series([np.setdiff1d(ids[row], seen).astype("int32") for row, seen in zip(keep, visited)])
 
-    # The pivots are a bounded number of training rows, spread by hash.
-    wanted = min(MAX_PIVOTS, max(1, n_train // BLOCK_ROWS))
-    picked = rows.select("v", "neighbour").orderBy(F.xxhash64("neighbour"), "neighbour").limit(wanted).collect()
-    if not picked:
-        raise ValueError("there are no training rows")
-    pivots = np.array([r.v for r in picked], dtype=np.float64)
+    return other_cells
 
-    placed = rows.withColumn("place", _nearest_pivot(pivots, metric)("v"))
-    placed = settle(placed.select("neighbour", "label", "v", "place.cell", "place.reach"), "knn-train")
-    # One row per pivot, and k distances per pivot.
-    bounds = {
-        r.cell: (r.n, r.near, r.far)
-        for r in placed.groupBy("cell")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("reach").alias("near"), F.max("reach").alias("far"))
-        .collect()
-    }
-    closest: dict[int, list[float]] = {c: [] for c in bounds}
-    for r in top_per_group(placed.select("cell", "reach", "neighbour"), ["cell"], [F.asc("reach"), F.asc("neighbour")], k).collect():
-        closest[r.cell].append(r.reach)
-    cells = {c: (bounds[c][1], bounds[c][2], closest[c]) for c in bounds}
-    blocks = F.create_map(*[F.lit(x) for c in bounds for x in (c, math.ceil(bounds[c][0] / BLOCK_ROWS))])
-
-    block_of = F.pmod(F.xxhash64("neighbour"), F.element_at(blocks, F.col("cell"))).cast("int")
-    left = (
-        sought.withColumn("cell", F.explode(_cells_to_visit(pivots, cells, k, metric)("q")))
-        .withColumn("chunk", F.pmod(F.xxhash64("key"), F.lit(chunks)).cast("int"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.element_at(blocks, F.col("cell")) - 1)))
-    )
-    right = placed.withColumn("block", block_of).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
 
-    types = dict(rows.dtypes)
-    schema = f"key {dict(sought.dtypes)['key']}, neighbour {types['neighbour']}, label {types['label']}, distance double"
+def _best_in_cells(
+    asked: DataFrame, placed: DataFrame, sizes: Mapping[int, int], k: int, metric: str, pairs: Accumulator | None
+) -> DataFrame:
+    """(key, neighbour, label, distance): for each row of ``asked`` (key, q, cell) the k best of each block of its cell."""
+    spark = asked.sparkSession
+    # One row per cell that is visited; there are no more cells than pivots.
+    visited = {r.cell: r.n for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    cut = [(c, math.ceil(sizes[c] / BLOCK_ROWS), math.ceil(n / BLOCK_ROWS)) for c, n in visited.items()]
+    # A table for each side: both in one plan would be ambiguous.
+    cut_left, cut_right = (F.broadcast(spark.createDataFrame(cut, "cell int, blocks int, chunks int")) for _ in range(2))
+
+    def number(key: str, of: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.col(of)).cast("int")
+
+    left = asked.join(cut_left, "cell").withColumn("chunk", number("key", "chunks"))
+    left = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    right = placed.join(cut_right, "cell").withColumn("block", number("neighbour", "blocks"))
+    right = right.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    types = dict(placed.dtypes)
+    schema = f"key {dict(asked.dtypes)['key']}, neighbour {types['neighbour']}, label {types['label']}, distance double"
 
     def best_of_block(asked: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
         if asked.empty or offered.empty:
             return pd.DataFrame({"key": asked["key"][:0], "neighbour": [], "label": [], "distance": []})
+        if pairs is not None:
+            pairs.add(len(asked) * len(offered))
         offered = offered.sort_values("neighbour", kind="stable")
         d = _distances(_matrix(asked["q"]), _matrix(offered["v"]), metric)
         best = np.argsort(d, axis=1, kind="stable")[:, :k]
@@ -135,9 +119,53 @@ def neighbours(
         )
 
     pairing = ["cell", "block", "chunk"]
-    found = left.groupBy(*pairing).cogroup(right.groupBy(*pairing)).applyInPandas(best_of_block, schema)
+    return left.groupBy(*pairing).cogroup(right.groupBy(*pairing)).applyInPandas(best_of_block, schema)
+
+
+def neighbours(
+    train: DataFrame,
+    queries: DataFrame,
+    key: str,
+    vector: str,
+    label: str,
+    k: int,
+    metric: str = "manhattan",
+    pairs: Accumulator | None = None,
+) -> DataFrame:
+    """(key, neighbour, label, distance, position) of the k nearest training rows of every query row.
+
+    ``metric`` is "manhattan" or "euclidean"; equal distances are ordered by the neighbour's key.  ``pairs`` counts the
+    distances that are computed.
+    """
+    if metric not in ("manhattan", "euclidean"):
+        raise ValueError(f"unknown metric {metric!r}")
+    ship(train.sparkSession)
+    rows = train.select(F.col(key).alias("neighbour"), F.col(label).alias("label"), F.col(vector).alias("v"))
+    sought = queries.select(F.col(key).alias("key"), F.col(vector).alias("q"))
+
+    # The pivots are training rows, spread by hash; their number grows with the square root of the rows.
+    wanted = max(1, math.isqrt(rows.count()))
+    picked = rows.select("v", "neighbour").orderBy(F.xxhash64("neighbour"), "neighbour").limit(wanted).collect()
+    if not picked:
+        raise ValueError("there are no training rows")
+    pivots = np.array([r.v for r in picked], dtype=np.float64)
+    placed = rows.withColumn("place", _nearest_pivot(pivots, metric)("v"))
+    placed = settle(placed.select("neighbour", "label", "v", "place.cell", "place.reach"), "knn-train")
+    cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("reach").alias("near"), F.max("reach").alias("far"))
+    cells = sorted(cells.collect(), key=lambda r: r.cell)
+    ids, near, far = (np.array([r[c] for r in cells]) for c in ("cell", "near", "far"))
+    sizes = {r.cell: r.n for r in cells}
+
+    first = sought.withColumn("visited", _nearest_cells(pivots, ids, np.array([sizes[c] for c in ids]), k, metric)("q"))
+    first = settle(first, "knn-first")
     order = [F.asc("distance"), F.asc("neighbour")]
-    best = top_per_group(found, ["key"], order, k, rank_as="position")
+    begun = _best_in_cells(first.select("key", "q", F.explode("visited").alias("cell")), placed, sizes, k, metric, pairs)
+    begun = settle(top_per_group(begun, ["key"], order, k), "knn-begun")
+    limits = begun.groupBy("key").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).alias("limit"))
+    more = first.join(limits, "key").withColumn("cell", F.explode(_other_cells(pivots, ids, near, far, metric)("q", "visited", "limit")))
+    more = settle(more.select("key", "q", "cell"), "knn-more")
+    rest = _best_in_cells(more, placed, sizes, k, metric, pairs)
+    best = top_per_group(begun.unionByName(rest), ["key"], order, k, rank_as="position")
     return best.withColumnRenamed("key", key)
 
 

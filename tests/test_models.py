@@ -1,4 +1,9 @@
 import math
+import os
+import subprocess
+import sys
+from dataclasses import replace
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -6,6 +11,8 @@ from pyspark.sql import functions as F
 
 from panelspark.ml import evaluate, knn, models, noise, pipeline, predict, scale, split, vote
 
+REPO = Path(__file__).resolve().parent.parent
+
 
 def test_split_is_exact_disjoint_and_complete(spark):
     df = spark.range(1000).withColumn("label", F.when(F.col("id") % 10 == 0, F.lit("rare")).when(F.col("id") % 3 > 0, F.lit("often")))
@@ -59,7 +66,9 @@ def test_neighbours_equal_brute_force_over_many_cells_and_blocks(spark, monkeypa
     asked = np.round(rng.normal(size=(60, 3)) + rng.integers(0, 4, size=(60, 1)) * 5, 2)
     asked[0] = points[0]
     frame = lambda a, off: spark.createDataFrame([(i + off, int(i % 4), [float(x) for x in v]) for i, v in enumerate(a)], "id bigint, label int, v array<double>")
-    got = knn.neighbours(frame(points, 0), frame(asked, 1000), "id", "v", "label", 3, metric).collect()
+    pairs = spark.sparkContext.accumulator(0)
+    got = knn.neighbours(frame(points, 0), frame(asked, 1000), "id", "v", "label", 3, metric, pairs).collect()
+    assert 0 < pairs.value < 0.7 * len(points) * len(asked)
     gap = asked[:, None, :] - points[None, :, :]
     d = np.abs(gap).sum(axis=2) if metric == "manhattan" else np.sqrt((gap * gap).sum(axis=2))
     want = {(1000 + i, int(j), p + 1) for i in range(60) for p, j in enumerate(np.argsort(d[i], kind="stable")[:3])}
@@ -152,3 +161,43 @@ def test_too_few_rows(spark):
     df = spark.createDataFrame([(str(i), 1, 0.0) for i in range(9)], "k string, p int, a double")
     with pytest.raises(ValueError):
         pipeline.prepare(df, "k", "p", ["a"])
+
+
+def test_rows_that_cannot_be_used_are_left_out_and_counted(spark):
+    rows = [(f"k{i:03d}", i % 2, str(i % 2 * 10 + i % 5)) for i in range(40)]
+    rows += [("x1", None, "1"), ("x2", None, "2"), ("x3", None, "3"), ("y1", 1, None), ("y2", 0, "no number"), ("y3", 0, "NaN")]
+    prepared = pipeline.prepare(spark.createDataFrame(rows, "k string, p int, a string"), "k", "p", ["a"])
+    assert list(prepared.rows.classes) == [0, 1] and prepared.unusable == 3
+    assert prepared.frame.count() == 40
+    compared = pipeline.compare_models(prepared, ["KNN"])
+    unlabelled = spark.createDataFrame([("2003_01", "10"), ("2003_02", None)], "k string, a string")
+    predicted = pipeline.predict_years(compared, prepared, unlabelled, "k", [2003], range(2000, 2023), set())
+    assert [(r.key, r.prediction) for r in predicted.collect()] == [("2003_01", 1)]
+
+
+def test_no_scores_without_folds(data):
+    _, prepared = data
+    without = replace(prepared, no_folds="classes with fewer than 2 training rows: [2]")
+    (row,) = pipeline.compare_models(without, ["Decision Tree"]).results.collect()
+    assert (row.cv_mean, row.cv_std) == (None, None) and row.note.endswith("[2]") and row.accuracy > 0
+
+
+def test_errors_are_not_hidden(data):
+    _, prepared = data
+    with pytest.raises(KeyError):
+        pipeline.cross_validate("KNN", {"weights": "uniform"}, prepared, 1)
+
+
+def test_workers_need_no_installed_package(tmp_path):
+    """A session that is started from another folder, with nothing but the driver's own path set."""
+    script = tmp_path / "run.py"
+    script.write_text(
+        f"import sys; sys.path.insert(0, {str(REPO)!r})\n"
+        "from tests.session import local_session\nfrom panelspark.ml import knn\n"
+        "spark = local_session('2', 2)\n"
+        "df = spark.createDataFrame([(i, i % 2, [float(i)]) for i in range(9)], 'id long, label int, v array<double>')\n"
+        "print('PREDICTED', knn.predict(df, df, 'id', 'v', 'label', 1).count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "PREDICTED 9" in done.stdout, done.stderr[-2000:]
