@@ -54,8 +54,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = table(spark, sf_dir, "documents")
     chain = toxicity.train(docs, table(spark, sf_dir, "labels"), ["quality", "toxic"])
-    found = toxicity.predict(docs, chain)
-    return found.select("doc_id", (F.col("toxic_probability") >= 0.5).alias("toxic"), "toxic_probability", "quality_probability")
+    return toxicity.predict(docs, chain).select("doc_id", "toxic", "toxic_probability", "quality_probability")
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,7 +58,10 @@ def scaled(text: np.ndarray, index: np.ndarray, value: np.ndarray, rarity: np.nd
 
 @dataclass
 class Chain:
-    """Weights of each category in order: one for each feature, one for each earlier category, and the intercept."""
+    """Weights of each category in order: one for each feature, one for each earlier category, and the intercept.
+
+    ``thresholds`` are the probabilities from which a category is best taken for given.
+    """
 
     labels: list[str]
     size: int
@@ -66,6 +69,7 @@ class Chain:
     weights: list[np.ndarray]
     earlier: list[np.ndarray]
     intercepts: list[float]
+    thresholds: list[float]
 
 
 def _counted(rows: DataFrame, size: int, labels: Sequence[str]) -> DataFrame:
@@ -114,7 +118,7 @@ def _vectors(counted: DataFrame, rarity: np.ndarray) -> DataFrame:
 
 def train(
     docs: DataFrame, labels: DataFrame, chain: Sequence[str], id_col: str = "doc_id", text_col: str = "text",
-    size: int = 1 << 17, folds: int = 3, sample: int = 20_000, penalty: float = 1e-5, least_rows: int = 4,
+    size: int = 1 << 17, folds: int = 3, sample: int = 20_000, penalty: float = 1e-6, least_rows: int = 4,
 ) -> Chain:
     """Fits the categories ``chain`` (columns of ``labels`` with 0 and 1) in this order.
 
@@ -127,19 +131,33 @@ def train(
     # The sample has a proven bound, so the documents need not move to meet it.
     rows = docs.select(F.col(id_col).alias("_id"), F.lower(text_col).alias("text")).join(F.broadcast(known), "_id")
     counted = settle(_counted(rows.select(F.xxhash64("_id").alias("key"), "text", *[f"_y{k}" for k in range(len(chain))]), size, chain), "toxic-rows")
-    found = Chain(list(chain), size, _rarity(counted, size, least_rows), [], [], [])
+    found = Chain(list(chain), size, _rarity(counted, size, least_rows), [], [], [], [])
     data = settle(_vectors(counted, found.rarity), "toxic-vectors")
     for k in range(len(chain)):
         # Fits go over the rows many times: a few partitions in memory, which Spark builds anew if they are lost.
         inputs = _with_earlier(data, size, k).coalesce(8).persist()
         _fit_one(found, inputs, k, penalty)
-        if k + 1 < len(chain):
-            parts = [_out_of_fold(inputs, k, fold, folds, penalty) for fold in range(folds)]
-            data = settle(functools.reduce(DataFrame.unionByName, parts), "toxic-folds")
+        parts = [_out_of_fold(inputs, k, fold, folds, penalty) for fold in range(folds)]
+        data = settle(functools.reduce(DataFrame.unionByName, parts), "toxic-folds")
         inputs.unpersist()
+        # As many rows as the sample has.
+        judged = data.select(f"y{k}", f"p{k}").toArrow()
+        found.thresholds.append(best_threshold(judged.column(0).to_numpy(), judged.column(1).to_numpy()))
     return found
 
 
+def best_threshold(truth: np.ndarray, probability: np.ndarray) -> float:
+    """The probability that separates best (by F1), half way to the next lower one; 0.5 if there is nothing to separate."""
+    if not len(truth) or truth.min() == truth.max():
+        return 0.5
+    order = np.argsort(-probability, kind="stable")
+    hit, p = np.cumsum(truth[order]), probability[order]
+    f1 = 2 * hit / (np.arange(1, len(p) + 1) + truth.sum())
+    last = np.append(p[1:] < p[:-1], True)  # equal probabilities are on the same side
+    best = int(np.argmax(np.where(last, f1, -1)))
+    return float((p[best] + (p[best + 1] if best + 1 < len(p) else 0)) / 2)
+
+
 def _with_earlier(data: DataFrame, size: int, k: int) -> DataFrame:
     """Column ``input``: the features, followed by the probabilities of ``k`` earlier categories."""
 
@@ -154,7 +172,7 @@ def _with_earlier(data: DataFrame, size: int, k: int) -> DataFrame:
 
 def _estimator(k: int, penalty: float) -> LogisticRegression:
     return LogisticRegression(
-        featuresCol="input", labelCol=f"y{k}", regParam=penalty, maxIter=60, standardization=False, probabilityCol="probability"
+        featuresCol="input", labelCol=f"y{k}", regParam=penalty, maxIter=40, standardization=False, probabilityCol="probability"
     )
 
 
@@ -210,6 +228,10 @@ def probabilities(spark: SparkSession, chain: Chain, text: Column | str) -> Colu
 
 
 def predict(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, and for each category ``<label>_probability``."""
+    """One row per input row: id, and for each category ``<label>`` (boolean) and ``<label>_probability``.
+
+    A category is given from the probability on that separated best among training rows judged out of fold.
+    """
     found = docs.select(F.col(id_col), probabilities(docs.sparkSession, chain, text_col).alias("_p"))
-    return found.select(id_col, *[F.col(f"_p.p{k}").alias(f"{label}_probability") for k, label in enumerate(chain.labels)])
+    each = [(F.col(f"_p.p{k}"), label, chain.thresholds[k]) for k, label in enumerate(chain.labels)]
+    return found.select(id_col, *[c for p, label, at in each for c in ((p >= at).alias(label), p.alias(f"{label}_probability"))])

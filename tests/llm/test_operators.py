@@ -511,6 +511,13 @@ def test_toxicity(spark):
     assert sum((p[i].bad_probability > 0.5) == (i % 3 == 0) for i in held) >= 0.95 * len(held)
 
 
+def test_best_threshold():
+    truth = np.array([1.0, 1, 0, 1, 0, 0])
+    assert toxicity.best_threshold(truth, np.array([0.9, 0.8, 0.3, 0.7, 0.2, 0.1])) == pytest.approx(0.5)
+    assert toxicity.best_threshold(truth, np.array([0.4] * 6)) == pytest.approx(0.2)
+    assert toxicity.best_threshold(np.zeros(3), np.array([0.1, 0.2, 0.3])) == 0.5
+
+
 def test_toxicity_of_one_value(spark):
     docs = frame(spark, awkward())
     labels = spark.createDataFrame([(1, 0), (2, 0)], "doc_id long, toxic int")
