@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelspark.llm.store import settle
@@ -46,14 +46,18 @@ def write_flat(docs: DataFrame, tokenizer: str, path: str, end_id: int, text_col
     tokens.write.option("lineSep", separator).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", rows_per_file).text(path)
 
 
+def file_number(name: str) -> Column:
+    """Number of a file from its name: part, then part of the part; a hash of a name of another form."""
+    part, piece = (F.regexp_extract(name, r"^part-(\d+)-.*-c(\d{3,})(\.\w+)*$", k) for k in (1, 2))
+    return F.when(part == "", F.xxhash64(name)).otherwise(F.concat(part, F.lpad(piece, 6, "0")).try_cast("long"))
+
+
 def read_blocks(spark: SparkSession, path: str, end_id: int, block_tokens: int = 1 << 16) -> DataFrame:
     """(file, block, start, tokens, ends) of flat token files: for each block its first token's place and the places of its ends.
 
-    ``file`` is the number in the file's name (part, then part of the part), or a hash of other names.
+    ``file`` is the :func:`file_number`.
     """
     files = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), "content")
-    part, piece = (F.regexp_extract("name", p, 1) for p in (r"^part-(\d+)", r"-c(\d+)"))
-    number = F.when(part == "", F.xxhash64("name")).otherwise(F.concat(part, F.lpad(piece, 6, "0")).try_cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -67,7 +71,7 @@ def read_blocks(spark: SparkSession, path: str, end_id: int, block_tokens: int =
                         names=["file", "block", "start", "tokens", "ends"],
                     )
 
-    return files.select(number.alias("file"), "content").mapInArrow(run, "file long, block long, start long, tokens long, ends array<long>")
+    return files.select(file_number("name").alias("file"), "content").mapInArrow(run, "file long, block long, start long, tokens long, ends array<long>")
 
 
 def _scan(blocks: DataFrame) -> DataFrame:

@@ -417,6 +417,13 @@ def test_token_counts(spark, block, step, monkeypatch):
             at += n + 1
 
 
+def test_files_have_numbers_of_their_own(spark):
+    names = ["part-00003-0a-c12e-4f00-c4a1-aa-c000.txt", "part-00003-0a-c12e-4f00-c4a1-aa-c001.txt", "part-00012-c9-c002.txt.gz", "tokens.bin"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    got = {r.name: r.file for r in df.select("name", tokencount.file_number("name").alias("file")).collect()}
+    assert [got[n] for n in names[:3]] == [3_000_000, 3_000_001, 12_000_002] and len(set(got.values())) == 4
+
+
 def test_token_counts_of_open_and_empty_files(spark):
     rows = [(1, 0, 0, 4, [2]), (1, 1, 4, 3, []), (2, 0, 0, 2, []), (3, 0, 0, 3, [0, 1, 2])]
     blocks = spark.createDataFrame(rows, "file long, block long, start long, tokens long, ends array<long>")
