@@ -146,14 +146,18 @@ def units_of(departements: DataFrame) -> DataFrame:
 
 
 def _keyed(name: str, df: DataFrame) -> DataFrame:
-    """A processed table with its year and place under common names and its columns renamed."""
+    """A processed table with its year and place under common names and its columns renamed, in the types of the stored dimension.
+
+    Processed tables come back from CSV as text; compared as text, "10" would be less than "9".
+    """
+    types = {f.name: f.dataType for f in schemas.DIMENSIONS[name].fields}
     year, place, level, renames, _ = DOMAINS[name]
     keys = [F.col(year).try_cast("int").alias("year")]
     if level == UNIT:
         keys.append(pad_code(F.trim(F.col(place).cast("string"))).alias("unit"))
     elif level == REGION:
         keys.append(F.trim(F.col(place).cast("string")).alias("region"))
-    return df.select(*keys, *[F.col(c).alias(alias) for c, alias in renames.items() if c in df.columns])
+    return df.select(*keys, *[F.col(c).try_cast(types[alias]).alias(alias) for c, alias in renames.items() if c in df.columns])
 
 
 def consolidated(

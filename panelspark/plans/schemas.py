@@ -12,29 +12,29 @@ def _struct(*columns: tuple[str, str]) -> StructType:
     return out
 
 
-_KEY = ("id", "integer")
+_KEY = ("id", "long")
 
 # Columns and types of the stored tables.
 DIMENSIONS: dict[str, StructType] = {
     "politique": _struct(
         _KEY,
-        ("etiquette_parti", "integer"),
+        ("etiquette_parti", "long"),
         ("annee", "integer"),
         ("code_dept", "string"),
         ("candidat", "string"),
-        ("total_voix", "integer"),
+        ("total_voix", "long"),
         ("orientation_politique", "string"),
     ),
-    "securite": _struct(_KEY, ("annee", "integer"), ("code_dept", "string"), ("delits_total", "integer")),
+    "securite": _struct(_KEY, ("annee", "integer"), ("code_dept", "string"), ("delits_total", "long")),
     "sante": _struct(_KEY, ("code_dept", "string"), ("annee", "integer"), ("esperance_vie", "double")),
     "education": _struct(
         _KEY,
         ("code_departement", "string"),
         ("annee_fermeture", "integer"),
         ("libelle_departement", "string"),
-        ("nombre_total_etablissements", "integer"),
-        ("nb_public", "integer"),
-        ("nb_prive", "integer"),
+        ("nombre_total_etablissements", "long"),
+        ("nb_public", "long"),
+        ("nb_prive", "long"),
         ("pct_public", "double"),
         ("pct_prive", "double"),
     ),
@@ -59,27 +59,27 @@ DIMENSIONS: dict[str, StructType] = {
         ("annee", "integer"),
         ("code_departement", "string"),
         ("nom_departement", "string"),
-        ("population_totale", "integer"),
-        ("population_hommes", "integer"),
-        ("population_femmes", "integer"),
-        ("pop_0_19", "integer"),
-        ("pop_20_39", "integer"),
-        ("pop_40_59", "integer"),
-        ("pop_60_74", "integer"),
-        ("pop_75_plus", "integer"),
+        ("population_totale", "long"),
+        ("population_hommes", "long"),
+        ("population_femmes", "long"),
+        ("pop_0_19", "long"),
+        ("pop_20_39", "long"),
+        ("pop_40_59", "long"),
+        ("pop_60_74", "long"),
+        ("pop_75_plus", "long"),
     ),
 }
 
 FACT = _struct(
     ("annee_code_dpt", "string"),
-    ("id_parti", "integer"),
-    ("securite_id", "integer"),
-    ("socio_eco_id", "integer"),
-    ("sante_id", "integer"),
-    ("environnement_id", "integer"),
-    ("education_id", "integer"),
-    ("demographie_id", "integer"),
-    ("technologie_id", "integer"),
+    ("id_parti", "long"),
+    ("securite_id", "long"),
+    ("socio_eco_id", "long"),
+    ("sante_id", "long"),
+    ("environnement_id", "long"),
+    ("education_id", "long"),
+    ("demographie_id", "long"),
+    ("technologie_id", "long"),
 )
 
 MODEL_RESULTS = _struct(
@@ -89,7 +89,7 @@ MODEL_RESULTS = _struct(
     ("accuracy", "double"),
     ("cv_mean", "double"),
     ("cv_std", "double"),
-    ("winner_id", "integer"),
+    ("winner_id", "long"),
     ("winner_name", "string"),
     ("winner_pct", "double"),
 )

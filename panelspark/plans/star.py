@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, NumericType, StructType
 
 from panelspark.functions.text import panel_key
 from panelspark.operators.lookup import fan_out
@@ -19,13 +19,22 @@ def conform(df: DataFrame, mapping: Mapping[str, str], target: StructType, keep_
     """Rename by ``mapping``, keep the columns that ``target`` has (names compared without
     case), give them its names, order and types, and leave its ``id`` to be generated unless ``keep_id``.
 
-    Values that do not fit the target type become NULL.
+    Text that is no number becomes NULL; a number that is too large for the target type is an error, never a silent NULL.
     """
     renamed = {mapping.get(c, c).lower(): c for c in df.columns}
     kept = [f for f in target.fields if f.name.lower() in renamed and (keep_id or f.name.lower() != "id")]
     if not kept:
         raise ValueError(f"no column of {df.columns} belongs to the target {target.names}")
-    return df.select(*[F.col(f"`{renamed[f.name.lower()]}`").try_cast(f.dataType).alias(f.name) for f in kept])
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+
+    def fitted(name: str, kind: DataType) -> Column:
+        value = F.col(f"`{name}`")
+        if not isinstance(kinds[name], NumericType):
+            return value.try_cast(kind)
+        lost = value.isNotNull() & ~F.isnan(value.cast("double")) & value.try_cast(kind).isNull()
+        return F.when(lost, F.raise_error(F.concat(F.lit(f"{name} does not fit {kind.simpleString()}: "), value.cast("string"))).cast(kind)).otherwise(value.try_cast(kind))
+
+    return df.select(*[fitted(renamed[f.name.lower()], f.dataType).alias(f.name) for f in kept])
 
 
 @dataclass(frozen=True)

@@ -143,8 +143,8 @@ def panel_consolidated(spark, sf):
 
 DIM_POLITICS = StructType(
     [
-        StructField("id", IntegerType()),
-        StructField("party_label", IntegerType()),
+        StructField("id", LongType()),
+        StructField("party_label", LongType()),
         StructField("year", IntegerType()),
         StructField("unit", StringType()),
         StructField("candidate", StringType()),
@@ -152,7 +152,7 @@ DIM_POLITICS = StructType(
 )
 DIM_COUNT = StructType(
     [
-        StructField("id", IntegerType()),
+        StructField("id", LongType()),
         StructField("year", IntegerType()),
         StructField("unit", StringType()),
         StructField("n_total", LongType()),
@@ -160,7 +160,7 @@ DIM_COUNT = StructType(
 )
 DIM_UNIT_VALUE = StructType(
     [
-        StructField("id", IntegerType()),
+        StructField("id", LongType()),
         StructField("year", IntegerType()),
         StructField("unit", StringType()),
         StructField("amount", DoubleType()),
@@ -168,14 +168,14 @@ DIM_UNIT_VALUE = StructType(
 )
 DIM_REGION_VALUE = StructType(
     [
-        StructField("id", IntegerType()),
+        StructField("id", LongType()),
         StructField("year", IntegerType()),
-        StructField("region", IntegerType()),
+        StructField("region", LongType()),
         StructField("amount", DoubleType()),
     ]
 )
 DIM_YEAR_VALUE = StructType(
-    [StructField("id", IntegerType()), StructField("year", IntegerType()), StructField("amount", DoubleType())]
+    [StructField("id", LongType()), StructField("year", IntegerType()), StructField("amount", DoubleType())]
 )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from panelspark.plans.star import conform
 from panelspark.sources.delimited import read_delimited
+from panelspark.tables import shared_dir
 
 
 def processed_path(folder: str, source: str) -> str:
@@ -46,16 +47,18 @@ def load_dimensions(
     mappings: Mapping[str, Mapping[str, str]],
     folder: str,
 ) -> dict[str, str]:
-    """Append every processed CSV to its dimension table; all or nothing is reported as failed."""
-    written, failed = {}, {}
+    """Append every processed CSV to its dimension table: all of them, or none.
+
+    All files are read, conformed and written to a staging folder first; any error there leaves the tables as they were, so a load can
+    be repeated.  Publishing only copies what has been staged.
+    """
+    staging = {name: shared_dir(spark, f"staged-{name}") for name in files}
     for name, source in files.items():
-        try:
-            rows = read_delimited(spark, source)
-            written[name] = append_table(rows, f"{folder.rstrip('/')}/dim_{name}", schemas[name], mappings.get(name))
-        except Exception as error:
-            failed[name] = error
-    if failed:
-        raise RuntimeError(f"dimensions that could not be loaded: {sorted(failed)}") from next(iter(failed.values()))
+        conform(read_delimited(spark, source), mappings.get(name) or {}, schemas[name]).write.parquet(staging[name])
+    written = {}
+    for name, path in staging.items():
+        written[name] = f"{folder.rstrip('/')}/dim_{name}"
+        spark.read.parquet(path).write.mode("append").parquet(written[name])
     return written
 
 

@@ -12,18 +12,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-_SCHEMAS: dict[str, StructType] = {}
+#: Schemas by path and the time when the path was last changed.
+_SCHEMAS: dict[str, tuple[int, StructType]] = {}
+
+
+def _path(spark: SparkSession, path: str):
+    """(Hadoop path, its file system)."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Lazily open ``<root>/<name>.parquet``; filters and columns are pruned into the scan.
 
-    The schema is inferred once per path, since inference starts a job each time.
+    The schema is inferred once per path and change of it, since inference starts a job each time.
     """
     path = f"{root.rstrip('/')}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    place, files = _path(spark, path)
+    changed = files.getFileStatus(place).getModificationTime()
+    if _SCHEMAS.get(path, (None,))[0] != changed:
+        _SCHEMAS[path] = (changed, spark.read.parquet(path).schema)
+    return spark.read.schema(_SCHEMAS[path][1]).parquet(path)
+
+
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """The application owns what it settles: the folder goes when the application ends."""
+    place, files = _path(spark, path)
+    files.deleteOnExit(place)
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
@@ -49,6 +64,7 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     """
     path = shared_dir(df.sparkSession, label)
     df.write.parquet(path)
+    drop_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

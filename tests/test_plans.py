@@ -167,9 +167,9 @@ def test_end_to_end(spark, tmp_path):
     panel = {r["annee_code_dpt"]: r.asDict() for r in etl.consolidated(reread, units).collect()}
     assert len(panel) == 24  # unit 01 in 23 years, unit 02 once
     full = panel["2002_01"]
-    assert (full["politique"], full["securite"], full["sante"]) == ("6", "12", "80.0")
-    assert (full["socio_economie"], full["environnement"], full["education"]) == ("24509.8", "3.0", "1")
-    assert (full["demographie"], full["technologie"]) == ("6", "2.17")
+    assert (full["politique"], full["securite"], full["sante"]) == (6, 12, 80.0)
+    assert (full["socio_economie"], full["environnement"], full["education"]) == (24509.8, 3.0, 1)
+    assert (full["demographie"], full["technologie"]) == (6, 2.17)
     dimensions, fact = etl.star(reread, units)
     labelled, unlabelled = etl.model_sets(dimensions, fact)
     assert [r["panel_key"] for r in labelled.collect()] == ["2002_01"] and unlabelled.count() == 0
@@ -184,7 +184,7 @@ def test_end_to_end(spark, tmp_path):
 
 
 def test_result_rows_are_appended(spark, tmp_path):
-    run = spark.createDataFrame([(1, datetime.datetime(2024, 1, 1), "KNN", "", 0.5, 0.4, 0.1, 2, "Gauche", 60.0)], pipeline.RESULTS)
+    run = spark.createDataFrame([(1, datetime.datetime(2024, 1, 1), "KNN", "", 0.5, 0.4, 0.1, 2, "Gauche", 60.0, None)], pipeline.RESULTS)
     path = str(tmp_path / "results")
     etl.append_results(run, path)
     etl.append_results(run, path)

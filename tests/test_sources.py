@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -76,8 +77,12 @@ def test_dimension_tables(spark, tmp_path, rows):
     paths = writers.load_dimensions(spark, {"a": good}, {"a": SCHEMA}, {"a": {"Code": "unit"}}, folder)
     writers.load_dimensions(spark, {"a": good}, {"a": SCHEMA}, {"a": {"Code": "unit"}}, folder)
     assert rows(spark.read.parquet(paths["a"])) == [("01", 5), ("01", 5)]
-    with pytest.raises(RuntimeError, match="b"):
-        writers.load_dimensions(spark, {"b": str(tmp_path / "gone")}, {"b": SCHEMA}, {}, folder)
+    # One bad file: nothing of the load is stored, and a repeat doubles nothing.
+    files = {"a": good, "b": str(tmp_path / "gone")}
+    for _ in range(2):
+        with pytest.raises(AnalysisException):
+            writers.load_dimensions(spark, files, {"a": SCHEMA, "b": SCHEMA}, {"a": {"Code": "unit"}}, folder)
+    assert spark.read.parquet(paths["a"]).count() == 2
 
 
 def test_processed_path():
