@@ -9,12 +9,20 @@ from panelspark.functions.text import panel_key_year
 from panelspark.ml import evaluate, knn, noise, predict, scale, split, vote
 from panelspark.operators.rank import distribution, majority
 from panelspark.queries.base import big
-from panelspark.queries.panels import FACT, analysis_sets
+from panelspark.queries.panels import FACT, INDICATORS, analysis_sets
 from panelspark.queries.registry import query
 from panelspark.tables import settle, settle_all, table
 
 LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount"]
-PANEL_FEATURES = ["security", "socio_economy", "health"]
+PANEL_FEATURES = INDICATORS
+# The same features in SQL, in order.
+_FEATURES = ["d_sec.n::DOUBLE", "d_soc.value", "d_sat.value", "d_env.value", "d_edu.n::DOUBLE", "d_dem.n::DOUBLE", "d_tec.value"]
+
+
+def _each(template: str, between: str = ", ") -> str:
+    """The template once for each feature: ``{i}`` is its number, ``{x}`` its expression."""
+    return between.join(template.format(i=i, x=x) for i, x in enumerate(_FEATURES))
+
 
 _PARTS = """parts AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY label ORDER BY md5(concat(CAST(id AS VARCHAR), '|42')), id)
       <= ceil(count(*) OVER (PARTITION BY label) * 80 / 100.0) THEN 'train' ELSE 'test' END AS part FROM labelled)"""
@@ -237,14 +245,13 @@ def ml_features(spark, sf):
 
 
 _SCORED = f"""WITH {FACT},
-    x AS (SELECT panel_key, d_pol.label, d_sec.n::DOUBLE AS a, d_soc.value AS b, d_sat.value AS c
+    x AS (SELECT panel_key, d_pol.label, {_each("{x} AS f{i}")}
       FROM fact LEFT JOIN d_pol ON politics_id = d_pol.id JOIN d_sec ON security_id = d_sec.id
         JOIN d_soc ON socio_economy_id = d_soc.id JOIN d_sat ON health_id = d_sat.id JOIN d_env ON environment_id = d_env.id
         JOIN d_edu ON education_id = d_edu.id JOIN d_dem ON demography_id = d_dem.id JOIN d_tec ON technology_id = d_tec.id),
-    m AS (SELECT min(a) AS la, max(a) - min(a) AS wa, min(b) AS lb, max(b) - min(b) AS wb, min(c) AS lc, max(c) - min(c) AS wc
-      FROM x WHERE label IS NOT NULL),
-    z AS (SELECT panel_key, label, (a - la) / wa AS a, (b - lb) / wb AS b, (c - lc) / wc AS c FROM x CROSS JOIN m),
-    d AS (SELECT q.panel_key, t.panel_key AS nb, t.label, abs(q.a - t.a) + abs(q.b - t.b) + abs(q.c - t.c) AS dist
+    m AS (SELECT {_each("min(f{i}) AS l{i}, max(f{i}) - min(f{i}) AS w{i}")} FROM x WHERE label IS NOT NULL),
+    z AS (SELECT panel_key, label, {_each("(f{i} - l{i}) / w{i} AS f{i}")} FROM x CROSS JOIN m),
+    d AS (SELECT q.panel_key, t.panel_key AS nb, t.label, {_each("abs(q.f{i} - t.f{i})", " + ")} AS dist
       FROM z q JOIN z t ON q.label IS NULL AND t.label IS NOT NULL),
     n AS (SELECT panel_key, label FROM d QUALIFY row_number() OVER (PARTITION BY panel_key ORDER BY dist, nb) <= 2),
     p AS (SELECT panel_key, label AS prediction FROM (SELECT panel_key, label, count(*) AS s FROM n GROUP BY 1, 2)

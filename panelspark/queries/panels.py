@@ -58,7 +58,7 @@ class Domains:
         return won.select("year", _code("unit").alias("unit"), "candidate", label.alias("label"))
 
     def security(self):
-        rows = self.lines.filter((F.col("year") >= 1996) & (F.col("n_returned") > 0))
+        rows = self.lines.filter("n_returned > 0")
         return rows.select("year", _code("unit").alias("unit"), F.col("n_returned").alias("n"))
 
     def health(self):
@@ -69,7 +69,7 @@ class Domains:
         return located.agg(total_price().alias("value"))
 
     def environment(self):
-        located = self.lines.join(self.places, "unit").filter((F.col("region_id") != 3) | (F.col("year") > 1997))
+        located = self.lines.join(self.places, "unit")
         return located.groupBy("year", F.col("region_id").alias("region")).agg(F.sum("quantity").alias("value"))
 
     def education(self):
@@ -92,14 +92,14 @@ DOMAINS = WINNERS + """,
     FROM winners WHERE year IN (1996, 1998, 2000)),
   sec AS (SELECT year(l_shipdate) AS year, lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS unit, count(*) AS n
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-    WHERE l_returnflag = 'R' AND year(l_shipdate) >= 1996 GROUP BY 1, 2),
+    WHERE l_returnflag = 'R' GROUP BY 1, 2),
   sat AS (SELECT year(o_orderdate) AS year, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS unit,
       sum(CAST(round(o_totalprice * 100) AS BIGINT)) / (100.0 * count(*)) AS value FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
   soc AS (SELECT year(o_orderdate) AS year, n_regionkey AS region, round(sum(o_totalprice), 2) AS value
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2),
   env AS (SELECT year(l_shipdate) AS year, n_regionkey AS region, sum(l_quantity) AS value
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-    WHERE n_regionkey <> 3 OR year(l_shipdate) > 1997 GROUP BY 1, 2),
+    GROUP BY 1, 2),
   edu AS (SELECT year(o_orderdate) AS year, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS unit, count(*) AS n
     FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '1-URGENT' GROUP BY 1, 2),
   dem AS (SELECT year(o_orderdate) AS year, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS unit,
