@@ -22,4 +22,5 @@ def settle(df: DataFrame, label: str, *partitions: str) -> DataFrame:
         df.write.partitionBy(*partitions).parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
+    tables.drop_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
