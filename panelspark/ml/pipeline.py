@@ -7,7 +7,7 @@ side by side from a few driver threads, each one a set of Spark jobs.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from statistics import fmean, pstdev
@@ -72,8 +72,9 @@ def prepare(
     noise_level: float = 0.0,
     train_percent: int = 80,
     keep_percent: int = 100,
+    stratified: bool = True,
 ) -> Prepared:
-    """Clean, optionally add noise, drop classes of two rows or fewer, split by class, subsample
+    """Clean, optionally add noise, drop classes of two rows or fewer, split (by class, if ``stratified``), subsample
     the training rows, scale both ways, assign folds, and settle the result.
 
     Rows without a label are left out, and so are rows with a feature that is no number; the latter are counted.
@@ -91,7 +92,7 @@ def prepare(
     unusable = read.filter("not _usable").count()
     # Settled before it is ranked, since ranking reads its input twice.
     rows = settle(split.without_rare_classes(read.filter("_usable").drop("_usable"), "label"), "model-classes")
-    rows = settle(split.split(rows, "key", ["label"], train_percent, seed), "model-rows")
+    rows = settle(split.split(rows, "key", ["label"] if stratified else [], train_percent, seed), "model-rows")
     train = rows.filter("part = 'train'")
     if keep_percent < 100:
         kept = split.sample(train, "key", keep_percent, seed)
@@ -159,12 +160,13 @@ def compare_models(
     class_names: dict[int, str] | None = None,
     seed: int = 42,
     at: dt.datetime = dt.datetime(1970, 1, 1),
+    parameters: Mapping[str, Mapping] = models.DEFAULTS,
 ) -> Comparison:
     """Train every model and keep its scores and majority class; the best one is the first with the top accuracy."""
     spark = data.frame.sparkSession
     class_names = models.PARTY_LABELS if class_names is None else class_names
     with ThreadPoolExecutor(THREADS) as pool:
-        done = dict(zip(names, pool.map(lambda n: _evaluate(n, models.DEFAULTS[n], data, seed), names)))
+        done = dict(zip(names, pool.map(lambda n: _evaluate(n, parameters[n], data, seed), names)))
     rows = []
     for position, name in enumerate(names, 1):
         _, accuracy, mean, std, scored = done[name]

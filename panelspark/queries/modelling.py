@@ -333,6 +333,21 @@ def ml_model_results(spark, sf):
     return pipeline.compare_models(data, class_names=SEGMENT_CLASSES).results
 
 
+@query(
+    "ml_prepared_rows",
+    f"""WITH labelled AS (SELECT c_custkey AS id, CASE c_mktsegment WHEN 'BUILDING' THEN 1 WHEN 'FURNITURE' THEN 2 WHEN 'HOUSEHOLD' THEN 2
+        WHEN 'MACHINERY' THEN 3 WHEN 'AUTOMOBILE' THEN 4 END::BIGINT AS label FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)),
+      {_PARTS}, k AS (SELECT greatest(2, least(5, min(n))) AS folds FROM (SELECT count(*) AS n FROM parts WHERE part = 'train' GROUP BY label)),
+      f AS (SELECT label, part, (row_number() OVER (PARTITION BY label ORDER BY md5(concat(CAST(id AS VARCHAR), '|42')), id) - 1) % folds AS fold
+        FROM parts CROSS JOIN k)
+    SELECT label, part, fold::BIGINT AS fold, count(*) AS n FROM f GROUP BY 1, 2, 3""",
+)
+def ml_prepared_rows(spark, sf):
+    """What all estimators are trained and judged on: rows by class, part and fold."""
+    rows = _prepared(spark, sf).frame.groupBy("label", "part", "fold").agg(F.count(F.lit(1)).alias("n"))
+    return rows.withColumn("fold", F.col("fold").cast("bigint"))
+
+
 @query("ml_grid_search")
 def ml_grid_search(spark, sf):
     from panelspark.ml import pipeline

@@ -201,3 +201,14 @@ def test_workers_need_no_installed_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "PREDICTED 9" in done.stdout, done.stderr[-2000:]
+
+
+def test_strong_parameters_train(spark, data):
+    """The stronger models on a plain split, with several hidden layers; fewer iterations keep the test short."""
+    df, _ = data
+    prepared = pipeline.prepare(df, "k", "p", ["a", "b"], train_percent=70, stratified=False)
+    assert prepared.part("train", "standard").count() == 63
+    perceptron = models.STRONG["MLP (Neural Net)"] | {"iterations": 5}
+    compared = pipeline.compare_models(prepared, ["MLP (Neural Net)"], parameters={"MLP (Neural Net)": perceptron})
+    (row,) = compared.results.collect()
+    assert 0 <= row.accuracy <= 1 and row.winner_id in (2, 4, 7)
