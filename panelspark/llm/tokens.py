@@ -9,8 +9,8 @@ from tokenizers import Tokenizer
 
 from panelspark.llm.words import SPACE, find_words, ragged
 
-#: Words remembered by a worker; when there are more it forgets all and starts anew, so memory is bounded.
-REMEMBERED = 1 << 19
+#: Words remembered by a worker.  When there are more it forgets those that came only once since it last did, and half at least.
+REMEMBERED = 1 << 18
 _SIMPLE = re.compile(r"[!-&(-;=-~À-ÖØ-öø-ÿ]+")
 _PIECES = re.compile(r"[^\W\d_]+|[0-9]|[^\sA-Za-zÀ-ÖØ-öø-ÿ0-9]+")
 #: Byte-level symbols: a byte that is no visible Latin-1 character stands as code point 256 and up.
@@ -34,9 +34,18 @@ class WordEncoder:
 
     def _forget(self) -> None:
         self._slot: dict[int, int] = {}
-        self._ids = np.zeros(1 << 16, np.uint32)
-        self._used = 0
-        self._first, self._count = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self._ids = np.zeros(0, np.uint32)
+        self._first, self._count, self._seen = (np.zeros(0, np.int64) for _ in range(3))
+
+    def _make_room(self) -> None:
+        kept = np.flatnonzero(self._seen > 1)
+        if len(kept) > REMEMBERED // 2:
+            kept = np.sort(np.argsort(-self._seen, kind="stable")[: REMEMBERED // 2])
+        keys = np.fromiter(self._slot, np.uint64, len(self._slot))[kept]  # slots are given in order
+        count = self._count[kept]
+        ids = self._ids[ragged(self._first[kept], count)]
+        self._slot = {k: i for i, k in enumerate(keys.tolist())}
+        self._ids, self._count, self._first, self._seen = ids, count, np.cumsum(count) - count, np.zeros(len(kept), np.int64)
 
     def _encode(self, word: str) -> list[int]:
         # Plain Latin words need no normaliser but lower case; the model alone gives the same ids, several times faster.
@@ -48,32 +57,29 @@ class WordEncoder:
             return ids
         return self._tokenizer.encode(word, add_special_tokens=False).ids
 
-    def _add(self, key: int, word: str) -> None:
-        ids = self._encode(word)
-        slot, used = len(self._slot), self._used
-        if slot == len(self._first):
-            self._first, self._count = np.resize(self._first, 2 * slot), np.resize(self._count, 2 * slot)
-        while used + len(ids) > len(self._ids):
-            self._ids = np.resize(self._ids, 2 * len(self._ids))
-        self._ids[used : used + len(ids)] = ids
-        self._first[slot], self._count[slot] = used, len(ids)
-        self._slot[key], self._used = slot, used + len(ids)
-
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of a run of texts, one after the other, and how many each text has."""
         words = find_words(data, offsets, ~SPACE[data])
         keys, at, of = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        if len(self._slot) + len(keys) > REMEMBERED:
-            self._forget()
-        listed = keys.tolist()
-        slots = [self._slot.get(k, -1) for k in listed]
-        raw = data.tobytes()
-        for i, slot in enumerate(slots):
-            if slot < 0:
-                w = at[i]
-                self._add(listed[i], raw[words.start[w] : words.end[w]].decode("utf-8", "replace"))
-                slots[i] = self._slot[listed[i]]
-        slot = np.array(slots, np.int64)[of] if len(slots) else np.zeros(0, np.int64)
+        if len(self._slot) > REMEMBERED:
+            self._make_room()
+        known, new_ids, new_counts = self._slot, [], []
+        slots = [known.get(k, -1) for k in keys.tolist()]
+        missing = [i for i, slot in enumerate(slots) if slot < 0]
+        raw, first = data.tobytes(), at[missing] if missing else at[:0]
+        for i, key, a, b in zip(missing, keys[missing].tolist(), words.start[first].tolist(), words.end[first].tolist()):
+            ids = self._encode(raw[a:b].decode("utf-8", "replace"))
+            slots[i] = known[key] = len(known)
+            new_ids += ids
+            new_counts.append(len(ids))
+        if missing:
+            self._ids = np.concatenate([self._ids, np.array(new_ids, np.uint32)])
+            self._count = np.concatenate([self._count, np.array(new_counts, np.int64)])
+            self._first = np.cumsum(self._count) - self._count
+            self._seen = np.concatenate([self._seen, np.zeros(len(missing), np.int64)])
+        slot = np.array(slots, np.int64)
+        self._seen[slot] += 1
+        slot = slot[of]
         counts = self._count[slot]
         total = np.concatenate([[0], np.cumsum(counts)])[words.bounds]
         return self._ids[ragged(self._first[slot], counts)], np.diff(total)

@@ -93,3 +93,19 @@ def test_token_ids_are_the_tokenizers():
     want = [plain.encode(t or "", add_special_tokens=False).ids for t in values]
     assert sizes.tolist() == [len(x) for x in want]
     assert ids.tolist() == [i for x in want for i in x]
+
+
+def test_an_encoder_that_forgets_gives_the_same_ids(monkeypatch):
+    pytest.importorskip("tokenizers")
+    from panelspark.llm import tokens
+    from panelspark.llm.queries import tokenizer_path
+
+    rng = random.Random(4)
+    values = [" ".join(rng.choice(["often", "always", f"w{rng.randint(0, 300)}"]) for _ in range(40)) for _ in range(60)]
+    whole = tokens.WordEncoder(tokenizer_path()).encode(*run_of(values))
+    monkeypatch.setattr(tokens, "REMEMBERED", 60)
+    small = tokens.WordEncoder(tokenizer_path())
+    parts = [small.encode(*run_of(values[k : k + 5])) for k in range(0, 60, 5)]
+    assert len(small._slot) < 300 and small.encode(*run_of([None, ""]))[0].tolist() == []
+    assert np.concatenate([p[0] for p in parts]).tolist() == whole[0].tolist()
+    assert np.concatenate([p[1] for p in parts]).tolist() == whole[1].tolist()
