@@ -20,9 +20,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language stays unknown (no letter, or no language has half of the probability)."""
+    """Drops documents whose language stays unknown: without a letter, or as likely in any other language."""
     ship(spark)
-    return langid.drop_unknown(docs, langid.train(docs), least_score=0.5)
+    return langid.drop_unknown(docs, langid.train(docs))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -178,7 +178,12 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return found.select(id_col, F.col("_found.lang").alias("lang_pred"), F.col("_found.score").alias("score"))
 
 
-def drop_unknown(docs: DataFrame, model: Model, text_col: str = "text", least_score: float = 0.5) -> DataFrame:
-    """``docs`` without the texts whose language is unknown or less sure than ``least_score``."""
+def drop_unknown(docs: DataFrame, model: Model, text_col: str = "text", above: float | None = None) -> DataFrame:
+    """``docs`` without the texts whose language is unknown, or whose score is not above ``above``.
+
+    By default that is the share of each language by chance: only texts that tell nothing about their language go.
+    """
+    if above is None:
+        above = 1 / len(model.languages) + 1e-6 if len(model.languages) > 1 else 0.0
     both = docs.select(F.struct(*docs.columns).alias("doc"), language(docs.sparkSession, model, text_col).alias("found"))
-    return both.filter((F.col("found.lang") != UNKNOWN) & (F.col("found.score") >= least_score)).select("doc.*")
+    return both.filter((F.col("found.lang") != UNKNOWN) & (F.col("found.score") > above)).select("doc.*")
