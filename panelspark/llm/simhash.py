@@ -2,6 +2,8 @@
 
 Fingerprints are cut into so few segments that one of them differs in at most one bit.  Every segment is indexed once for each
 of its bits, that bit left out; fingerprints whose variants are equal meet and are verified on all bits.
+
+:func:`drop_near_copies` decides by the texts' shingles, not by fingerprints: these only find most links at low cost.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from panelspark.llm.components import components
 from panelspark.llm.store import settle
-from panelspark.llm.words import buffer_of, lower_words, mix, single_spaced, slices
+from panelspark.llm.words import Hasher, Words, buffer_of, lower_words, mix, single_spaced, slices
 from panelspark.llm.xxh64 import xxh64
 
 SEED = 42
@@ -44,18 +46,41 @@ def majority(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprint_slice(data: np.ndarray, offsets: np.ndarray, shingle: int, width: int = 1) -> np.ndarray:
-    """Fingerprints of a run of texts, ``width`` words of 64 bits each, from their shingles (all words, where a text has fewer).
-
-    The first word is made of the shingles' XXH64 hashes, further ones of these hashes mixed anew.
-    """
+def _shingles(data: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of a run of texts, where their shingles (all words, where a text has fewer) start and end, and the bounds of the texts."""
     words = single_spaced(lower_words(data, offsets))
     n = words.per_text()
     shingles = np.where(n >= shingle, n - shingle + 1, np.minimum(n, 1))
     bounds = np.concatenate([[0], np.cumsum(shingles)])
     first = np.repeat(words.bounds[:-1] - bounds[:-1], shingles) + np.arange(bounds[-1])
     last = first + np.repeat(np.minimum(n, shingle), shingles) - 1
-    hashes = xxh64(words.data, words.start[first], words.end[last], SEED)
+    return words, words.start[first], words.end[last], bounds
+
+
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted hashes of each text's distinct shingles, the bounds of the texts, and a 64-bit digest of each set."""
+    words, start, end, bounds = _shingles(data, offsets, shingle)
+    n_texts = len(bounds) - 1
+    hashes, of = Hasher(words.data)(start, end), np.repeat(np.arange(n_texts), np.diff(bounds))
+    order = np.lexsort((hashes, of))
+    hashes, of = hashes[order], of[order]
+    first = np.ones(len(of), bool)
+    first[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
+    hashes, of = hashes[first], of[first]
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=n_texts))])
+    digest, some = np.zeros(n_texts, np.uint64), np.diff(bounds) > 0
+    if some.any():
+        digest[some] = np.add.reduceat(mix(hashes ^ np.uint64(SEED)), bounds[:-1][some])
+    return hashes, bounds, digest
+
+
+def fingerprint_slice(data: np.ndarray, offsets: np.ndarray, shingle: int, width: int = 1) -> np.ndarray:
+    """Fingerprints of a run of texts, ``width`` words of 64 bits each, from their shingles (all words, where a text has fewer).
+
+    The first word is made of the shingles' XXH64 hashes, further ones of these hashes mixed anew.
+    """
+    words, start, end, bounds = _shingles(data, offsets, shingle)
+    hashes = xxh64(words.data, start, end, SEED)
     more = [mix(hashes ^ np.uint64(k)) for k in range(1, width)]
     return np.stack([majority(h, bounds) for h in (hashes, *more)], axis=1)
 
@@ -141,6 +166,39 @@ def _compare(key: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray,
         lag += 1
 
 
+def _buckets(batches: Iterator[pa.RecordBatch], bucket: int) -> Iterator[tuple[list[np.ndarray], bool]]:
+    """(columns, crowded) of rows that come sorted by their first column: whole buckets of 2 to ``bucket`` rows, and rows of larger ones."""
+    # The last key of a batch may go on in the next one: its rows wait, or are passed on as too many once there are more
+    # than a bucket holds.
+    wait, large = None, None
+    for batch in batches:
+        now = [np.asarray(c) for c in batch.columns]
+        if wait is not None:
+            now = [np.concatenate(x) for x in zip(wait, now)]
+        key = now[0]
+        if not len(key):
+            continue
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.concatenate([starts, [len(key)]]))
+        too_many = size > bucket
+        if large is not None and key[0] == large:
+            too_many[0] = True
+        large = key[-1] if too_many[-1] else None
+        many = np.repeat(too_many, size)
+        if many.any():
+            yield [x[many] for x in now], True
+        tail = starts[-1] if large is None else len(key)
+        done = ~many
+        done[tail:] = False
+        # One row alone in its bucket is like nothing; most rows are.
+        done &= np.repeat(size > 1, size)
+        if done.any():
+            yield [x[done] for x in now], False
+        wait = [x[tail:] for x in now]
+    if wait is not None and len(wait[0]):
+        yield wait, False
+
+
 def _bucket_links(rows: DataFrame, radius: int, bucket: int) -> DataFrame:
     """(a, b, mask) from (key, node, fp0, …): links inside each bucket, and the members of too large ones with their mask (b null)."""
 
@@ -156,35 +214,8 @@ def _bucket_links(rows: DataFrame, radius: int, bucket: int) -> DataFrame:
         return out(pairs[:, 0], pairs[:, 1], None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows come sorted by key.  The last key of a batch may go on in the next one: its rows wait, or are passed on as
-        # too many once there are more than a bucket holds.
-        wait, large = None, None
-        for batch in batches:
-            now = [np.asarray(c) for c in batch.columns]
-            if wait is not None:
-                now = [np.concatenate(x) for x in zip(wait, now)]
-            key = now[0]
-            if not len(key):
-                continue
-            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            size = np.diff(np.concatenate([starts, [len(key)]]))
-            too_many = size > bucket
-            if large is not None and key[0] == large:
-                too_many[0] = True
-            large = key[-1] if too_many[-1] else None
-            many = np.repeat(too_many, size)
-            if many.any():
-                yield out(now[1][many], None, key[many] & ((1 << MASK_BITS) - 1))
-            tail = starts[-1] if large is None else len(key)
-            done = ~many
-            done[tail:] = False
-            # One row alone in its bucket is like nothing; most rows are.
-            done &= np.repeat(size > 1, size)
-            if done.any():
-                yield linked(*(x[done] for x in now))
-            wait = [x[tail:] for x in now]
-        if wait is not None and len(wait[0]):
-            yield linked(*wait)
+        for now, crowded in _buckets(batches, bucket):
+            yield out(now[1], None, now[0] & ((1 << MASK_BITS) - 1)) if crowded else linked(*now)
 
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long, mask long")
 
@@ -252,22 +283,97 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
+def set_rows(docs: DataFrame, id_col: str, text_col: str, shingle: int, width: int) -> DataFrame:
+    """(id, node, n, fp0, …) for each row with a word: digest and size of its set of shingles, and its fingerprint."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, d, o in slices(*buffer_of(batch.column(1))):
+                _, bounds, digest = shingle_sets(d, o, shingle)
+                fp = fingerprint_slice(d, o, shingle, width).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, end - first), pa.array(digest.view(np.int64)), pa.array(np.diff(bounds)), *(pa.array(np.ascontiguousarray(f)) for f in fp.T)],
+                    names=["id", "node", "n", *_names(width)],
+                )
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    longs = "".join(f", {n} long" for n in _names(width))
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, node long, n long{longs}").filter("n > 0")
+
+
+def met(nodes: DataFrame, radius: int, segments: int, bucket: int = BUCKET) -> DataFrame:
+    """(a, b): pairs of ``nodes`` (node, fp0, …) that meet in a bucket of variants and differ in at most ``radius`` bits.
+
+    Inside a bucket they connect what all such pairs do; in a crowded one they only tie its members to its first one.
+    """
+    names = nodes.columns[1:]
+    masks = [(i, *_longs(m, len(names))) for i, m in enumerate(cuts(0, segments, len(names)))]
+    variant = F.explode(F.array(*[F.struct(F.lit(m[0]).alias("nth"), *[F.lit(v).alias(f"m{k}") for k, v in enumerate(m[1:])]) for m in masks]))
+    key = F.xxhash64("nth", *[F.col(n).bitwiseAND(F.col(f"m{k}")) for k, n in enumerate(names)])
+    varied = nodes.select("*", variant.alias("v")).select("*", "v.*").select(key.alias("key"), "node", *names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub = None
+        for now, crowded in _buckets(batches, bucket):
+            if crowded:
+                if hub is not None:
+                    now = [np.concatenate(x) for x in zip(hub, now)]
+                starts = np.flatnonzero(np.concatenate([[True], now[0][1:] != now[0][:-1]]))
+                hub = [x[starts[-1] : starts[-1] + 1] for x in now]
+                i = np.repeat(starts, np.diff(np.concatenate([starts, [len(now[0])]])))
+                j = np.arange(len(i))
+                near = (i < j) & (sum(np.bitwise_count((f[i] ^ f[j]).view(np.uint64)) for f in now[2:]) <= radius)
+                i, j = i[near], j[near]
+            else:
+                i, j = _compare(now[0], [f.view(np.uint64) for f in now[2:]], radius)
+            pairs = np.array(_union(zip(now[1][i].tolist(), now[1][j].tolist())), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    return varied.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
+
+
+def alike(pairs: DataFrame, docs: DataFrame, text_col: str, shingle: int, similarity: float) -> DataFrame:
+    """Those of the distinct ``pairs`` (a, b) of nodes whose sets of shingles have a Jaccard similarity of at least ``similarity``."""
+    pairs = settle(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct(), "near-pairs")
+    wanted = settle(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near-pair-nodes")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, d, o in slices(*buffer_of(batch.column(0))):
+                hashes, bounds, digest = shingle_sets(d, o, shingle)
+                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(hashes.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), lists], names=["node", "shingles"])
+
+    sets = docs.select(text_col).mapInArrow(run, "node long, shingles array<long>").join(wanted, "node", "left_semi")
+    sets = settle(sets.dropDuplicates(["node"]), "near-pair-sets")
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b"
+    )
+    shared = F.size(F.array_intersect("of_a", "of_b"))
+    union = F.size("of_a") + F.size("of_b") - shared
+    return settle(both.filter(shared >= similarity * union - 1e-9).select("a", "b"), "near-links")
+
+
 def drop_near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, width: int = 2, radius: int = 24, segments: int = 8
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, width: int = 2, radius: int = 24, segments: int = 8, similarity: float = 0.8
 ) -> DataFrame:
     """``docs`` without all but one document of each group of near copies: the one with the smallest id.
 
-    By default fingerprints have 128 bits.  Texts that share a share J of their shingles differ in about
-    ``128 * acos(2J / (1 + J)) / pi`` of them, which is 19 at J = 0.8; 24 allow for the spread.  Texts that have little in common
-    differ in 64, and to come down to 24 is seven standard deviations off.  Segments have 16 bits: pairs that
-    differ in at most 15 bits always meet; at J = 0.8 a segment differs in one bit at most with a probability of 0.28, so 93 % of
-    such pairs meet, and more of a larger group.
+    Near copies are linked texts: those whose sets of shingles have a Jaccard similarity of at least ``similarity``.  Texts with
+    equal sets are one node.  Fingerprints (128 bits by default) find candidates; each link is checked on the shingles
+    themselves, so none joins texts less alike.
 
     Texts with no word have no shingle to compare and stay.  Of rows with the same id all stay or go together; a
     row without an id goes where a row with one is in its group.  Texts stay where they are unless the list of what goes is too
     large to broadcast.
     """
-    rows = settle(fingerprints(docs, id_col, text_col, shingle, width).filter("fp0 <> 0"), "fingerprints")
-    grouped = rows.join(_components(rows, radius, segments), _names(width))
-    gone = settle(grouped.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("_gone")).distinct(), "near-copies")
+    rows = settle(set_rows(docs, id_col, text_col, shingle, width), "shingle-rows")
+    fp = F.min(F.struct(*_names(width))).alias("fp")
+    nodes = settle(rows.groupBy("node").agg(fp).select("node", "fp.*"), "shingle-nodes")
+    linked = alike(met(nodes, radius, segments), docs, text_col, shingle, similarity)
+    grouped = rows.select("id", "node").join(components(linked), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    grouped = settle(grouped.select("id", "root"), "near-groups")
+    least = grouped.groupBy("root").agg(F.min("id").alias("least"))
+    gone = grouped.join(least, "root").filter(~F.col("id").eqNullSafe(F.col("least")))
+    gone = settle(gone.select(F.col("id").alias("_gone")).distinct(), "near-copies")
     return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")

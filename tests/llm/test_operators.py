@@ -163,6 +163,35 @@ def test_drop_near_copies(spark):
     assert simhash.near_groups(docs.limit(0)).count() == 0
 
 
+def kept_by_jaccard(rows, shingle=5, similarity=0.8):
+    """Ids that stay, by comparing all pairs."""
+    sets = {i: {tuple(w[k : k + shingle]) for k in range(max(1, len(w) - shingle + 1))} for i, t in rows if (w := t.split())}
+    parent = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
+                joined(parent, a, b)
+    root = roots(parent)
+    return sorted(i for i in sets if root[i] == i)
+
+
+def changed(words, places):
+    return " ".join(f"new{k}" if k in places else w for k, w in enumerate(words))
+
+
+def test_clean_documents_are_no_near_copies(spark):
+    # Changed words cost five shingles each: similarities run from 0.55 to 0.9.
+    rng, rows = random.Random(5), []
+    for k in range(40):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, changed(w, range(7, 7 + 10 * (2 + k % 8), 10)))]
+    # One word over half of all shingles makes the fingerprints of unlike texts equal.
+    rows += [(k, "again " * 40 + " ".join(f"v{k}x{j}" for j in range(20))) for k in (90, 91)]
+    got = sorted(r.doc_id for r in simhash.drop_near_copies(frame(spark, rows)).collect())
+    want = kept_by_jaccard(rows)
+    assert {90, 91} <= set(want) <= set(got) and len(want) < len(rows)
+
+
 # Packing
 
 
