@@ -354,14 +354,110 @@ def alike(pairs: DataFrame, docs: DataFrame, text_col: str, shingle: int, simila
     return settle(both.filter(shared >= similarity * union - 1e-9).select("a", "b"), "near-links")
 
 
+#: Slots of the table of how common shingles are.  It only orders them, so shingles that share a slot do no harm.
+SLOTS = 1 << 20
+
+
+def commonness(docs: DataFrame, text_col: str, shingle: int) -> np.ndarray:
+    """For each slot how many texts have a shingle in it, counted once for each such shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for _, _, d, o in slices(*buffer_of(batch.column(0))):
+                np.add.at(counts, (shingle_sets(d, o, shingle)[0] % np.uint64(SLOTS)).astype(np.int64), 1)
+        some = np.flatnonzero(counts)
+        for a in range(0, len(some), 1 << 16):
+            part = some[a : a + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(counts[part])], names=["slot", "n"])
+
+    found = docs.select(text_col).mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(SLOTS, np.int64)
+    counts[found.column(0).to_numpy()] = found.column(1).to_numpy()
+    return counts
+
+
+def prefixes(docs: DataFrame, text_col: str, shingle: int, similarity: float) -> DataFrame:
+    """(key, node, n, at): for each text the rarest of its ``n`` shingles, so many that two alike texts share one; ``at`` is the place.
+
+    Two sets of n and m shingles that are alike share at least ``similarity * max(n, m)`` of them.  So if both are put into the
+    same order, the first ``n - similarity * n + 1`` of each have one in common.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(commonness(docs, text_col, shingle))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, d, o in slices(*buffer_of(batch.column(0))):
+                hashes, bounds, digest = shingle_sets(d, o, shingle)
+                n = np.diff(bounds)
+                of = np.repeat(np.arange(len(n)), n)
+                common = shared.value[(hashes % np.uint64(SLOTS)).astype(np.int64)]
+                order = np.lexsort((hashes, common, of))
+                at = np.arange(len(hashes)) - np.repeat(bounds[:-1], n)
+                # What is alone in its slot is in no other text.
+                kept = (at <= (n - np.ceil(similarity * n - 1e-9))[of]) & (common[order] > 1)
+                of = of[kept]
+                columns = hashes[order][kept].view(np.int64), digest[of].view(np.int64), n[of].astype(np.int32), at[kept].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "n", "at"])
+
+    return docs.select(text_col).mapInArrow(run, "key long, node long, n int, at int")
+
+
+def _fitting(now: list[np.ndarray], similarity: float) -> Iterator[pa.RecordBatch]:
+    """(a, b): pairs of rows (key, node, n, at, root, side) of one key that may be alike and are not connected yet.
+
+    What follows a pair's first common shingle in both texts must suffice for the similarity.  Rows of side -1 meet all; others
+    only those of another side.
+    """
+    key, node, n, at, root, side = now
+    i, lag = np.arange(len(key)), 1
+    while True:
+        i = i[i + lag < len(key)]
+        i = i[key[i] == key[i + lag]]
+        if not len(i):
+            return
+        j = i + lag
+        best = np.minimum(n[i] - at[i], n[j] - at[j]).astype(np.int64)
+        fit = (root[i] != root[j]) & ((side[i] != side[j]) | (side[i] < 0)) & (best >= similarity * (n[i] + n[j] - best) - 1e-9)
+        if fit.any():
+            yield pa.RecordBatch.from_arrays([pa.array(node[i[fit]]), pa.array(node[j[fit]])], names=["a", "b"])
+        lag += 1
+
+
+def prefix_pairs(rows: DataFrame, similarity: float, bucket: int = BUCKET) -> DataFrame:
+    """(a, b): all pairs of the settled ``rows`` (key, node, n, at, root) with a common key that may be alike, roots being different.
+
+    A key with more than ``bucket`` rows is cut into blocks, and each pair of blocks is a bucket of its own, wherever
+    it is dealt; no pair is left out.
+    """
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("root").alias("low"), F.max("root").alias("high"))
+    sizes = settle(sizes.filter("low <> high").select("key", F.ceil(F.col("rows") / bucket).cast("int").alias("blocks")), "prefix-keys")
+    sized = rows.join(sizes, "key")
+    few = sized.filter("blocks = 1").select("key", "node", "n", "at", "root", F.lit(-1).alias("side"))
+    mine = F.pmod(F.xxhash64("node"), "blocks").cast("int")
+    many = sized.filter("blocks > 1").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other"))
+    side = F.when(F.col("mine") == F.col("other"), -1).otherwise(F.col("mine"))
+    many = many.select(dealt.alias("key"), "node", "n", "at", "root", side.alias("side"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Nothing is crowded: blocks are cut by hash, so a bucket may be somewhat larger than two blocks, not much.
+        for now, _ in _buckets(batches, 1 << 40):
+            yield from _fitting(now, similarity)
+
+    both = few.unionByName(many).repartition("key").sortWithinPartitions("key")
+    return both.mapInArrow(run, "a long, b long")
+
+
 def drop_near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, width: int = 2, radius: int = 24, segments: int = 8, similarity: float = 0.8
 ) -> DataFrame:
     """``docs`` without all but one document of each group of near copies: the one with the smallest id.
 
     Near copies are linked texts: those whose sets of shingles have a Jaccard similarity of at least ``similarity``.  Texts with
-    equal sets are one node.  Fingerprints (128 bits by default) find candidates; each link is checked on the shingles
-    themselves, so none joins texts less alike.
+    equal sets are one node.  Fingerprints (128 bits by default) find most links at low cost.  Then texts that are not
+    connected yet meet where they share one of their rarest shingles, which all alike texts do (see :func:`prefixes`).  Each link is
+    checked on the shingles themselves.  So the groups are those of all pairs, at any radius, number of segments or size of the corpus.
 
     Texts with no word have no shingle to compare and stay.  Of rows with the same id all stay or go together; a
     row without an id goes where a row with one is in its group.  Texts stay where they are unless the list of what goes is too
@@ -371,7 +467,11 @@ def drop_near_copies(
     fp = F.min(F.struct(*_names(width))).alias("fp")
     nodes = settle(rows.groupBy("node").agg(fp).select("node", "fp.*"), "shingle-nodes")
     linked = alike(met(nodes, radius, segments), docs, text_col, shingle, similarity)
-    grouped = rows.select("id", "node").join(components(linked), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    roots = settle(components(linked), "near-roots")
+    shared = prefixes(docs, text_col, shingle, similarity).join(roots, "node", "left")
+    shared = settle(shared.select("key", "node", "n", "at", F.coalesce("root", "node").alias("root")), "prefixes")
+    more = alike(prefix_pairs(shared, similarity), docs, text_col, shingle, similarity)
+    grouped = rows.select("id", "node").join(components(linked.unionByName(more)), "node", "left").withColumn("root", F.coalesce("root", "node"))
     grouped = settle(grouped.select("id", "root"), "near-groups")
     least = grouped.groupBy("root").agg(F.min("id").alias("least"))
     gone = grouped.join(least, "root").filter(~F.col("id").eqNullSafe(F.col("least")))

@@ -192,6 +192,17 @@ def test_clean_documents_are_no_near_copies(spark):
     assert {90, 91} <= set(want) <= set(got) and len(want) < len(rows)
 
 
+def test_no_near_copy_is_missed(spark):
+    # Groups of two, many of them near the border.  At radius 0 fingerprints find next to nothing.
+    rng, rows = random.Random(6), []
+    for k in range(60):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(40 + 4 * (k % 20))]
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, changed(w, range(7, len(w), 60 - k % 7)))]
+    rows += [(200, "One two three"), (201, "one two  three"), (202, "one two three four five six"), (203, "one two three four five six seven")]
+    got = sorted(r.doc_id for r in simhash.drop_near_copies(frame(spark, rows), radius=0).collect())
+    assert got == kept_by_jaccard([(i, t.lower()) for i, t in rows])
+
+
 # Packing
 
 
