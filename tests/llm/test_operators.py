@@ -203,6 +203,24 @@ def test_no_near_copy_is_missed(spark):
     assert got == kept_by_jaccard([(i, t.lower()) for i, t in rows])
 
 
+@pytest.mark.parametrize("bucket", [2, 5, 2048])
+def test_crowded_keys_lose_no_pair(spark, bucket):
+    rng = random.Random(7)
+    kept = [(key, node, 5, 0, root) for key in range(3) for node, root in ((n, n // 3) for n in rng.sample(range(100), 12 * key + 1))]
+    rows = spark.createDataFrame(kept, "key long, node long, n int, at int, root long")
+    got = {tuple(sorted(r)) for r in simhash.prefix_pairs(rows, 0.8, bucket).collect()}
+    assert got == {tuple(sorted((a[1], b[1]))) for a in kept for b in kept if a[0] == b[0] and a[4] < b[4]}
+
+
+def test_crowded_buckets_tie_all_members(spark):
+    # 300 prints around one centre; before, such buckets were cut until their masks ran out, and pairs were lost on the way.
+    rng = np.random.RandomState(3)
+    prints = {int(sum(1 << int(b) for b in rng.choice(62, 8, replace=False))) for _ in range(300)} | {0}
+    nodes = spark.createDataFrame([(i, x, 0) for i, x in enumerate(sorted(prints))], "node long, fp0 long, fp1 long")
+    for bucket in (3, 2048):
+        assert len({r.root for r in components.components(simhash.met(nodes, 24, 8, bucket)).collect()}) == 1
+
+
 # Packing
 
 
