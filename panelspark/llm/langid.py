@@ -96,8 +96,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", words
     """Learns from all rows with a language.
 
     The model holds, for each language, its most frequent words (at most ``words``) and n-grams (at most ``grams`` of each
-    length), which bounds what is collected and broadcast; ties at the border are left out together.  Frequencies are
-    relative to all that was counted.
+    length), which bounds what is collected and broadcast; ties at the border are left out together.  What one language keeps has
+    its counts in all languages.  Frequencies are relative to all that was counted.
     """
     languages = sorted(r[0] for r in docs.select(lang_col).filter(F.col(lang_col).isNotNull()).distinct().collect())
     if not languages:
@@ -109,7 +109,9 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", words
     above = F.sum("keys").over(Window.partitionBy("lang", "order").orderBy(F.desc("n")))
     least = histogram.withColumn("above", above).filter(F.col("above") <= F.when(F.col("order") == 0, words).otherwise(grams))
     least = least.groupBy("lang", "order").agg(F.min("n").alias("least"))
-    kept = counted.join(F.broadcast(least), ["lang", "order"]).filter("n >= least").select("lang", "order", "key", "n").toArrow()
+    frequent = counted.join(F.broadcast(least), ["lang", "order"]).filter("n >= least").select("order", "key").distinct()
+    # A key that one language keeps has the counts of all languages, also where they lie below the border.
+    kept = counted.join(frequent, ["order", "key"]).select("lang", "order", "key", "n").toArrow()
     lang, order, key, n = (kept.column(i).to_numpy() for i in range(4))
     tables = []
     for k in range(LONGEST + 1):

@@ -589,3 +589,15 @@ def test_toxicity_of_one_value(spark):
     for given in (labels, labels.limit(0)):
         chain = toxicity.train(docs, given, ["toxic"], size=64)
         assert max(r.toxic_probability for r in toxicity.predict(docs, chain).collect()) < 1e-6
+
+
+# Language counts
+
+
+def test_kept_words_have_the_counts_of_all_languages(spark):
+    rows = [(1, "pain " * 6 + "water " * 3, "en"), (2, "eau " * 9 + "pain " * 4 + "water", "fr")]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), words=1)
+    logs = model.tables[0][1]
+    # One word of each language is kept: pain (6 of 9, 4 of 14) and eau (0 of 9, 9 of 14).
+    want = [[math.log((n + 0.5) / (t + 0.5 * 3)) for n, t in zip(ns, (9, 14))] for ns in ((6, 4), (0, 9))]
+    assert np.allclose(sorted(logs.tolist()), sorted(want), atol=1e-5)
