@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import brown, decontaminate, exact, langid, licenses, packing, repeats, simhash, tokencount, toxicity
+from panelspark.llm import brown, decontaminate, dialogue, exact, jaccard, langid, licenses, packing, repeats, simhash, spelling, tokencount, toxicity
+from panelspark.llm.store import settle
 from panelspark.shipping import ship
 from panelspark.tables import shared_dir, table
 
@@ -87,6 +88,25 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048, end_id=0)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    rows = dialogue.damaged(table(spark, sf_dir, "conversations"))
+    planned = settle(dialogue.plans(rows), "dialogue-plans")
+    found = dialogue.digests(rows, planned)
+    return found.select(F.col("conv").alias("conv_id"), *dialogue.RESULTS, "audit", "repaired_sha256")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    words = spelling.vocabulary(spelling.runs_of(table(spark, sf_dir, "documents"), slip=199, least_length=6), least_length=6, least_count=5)
+    return spelling.variants(settle(words, "spelling-words"), ratio=5)
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"), shingle=3, percent=90)
+
+
 EXACT_SQL = r"""
 WITH hashed AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -102,6 +122,31 @@ WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
 """
 
 
+JACCARD_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared >= 90 * (x.n + y.n - shared)),
+reached(doc_id, reach) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.reach = l.a)
+SELECT r.doc_id, any_value(coalesce(n, 0)) AS n_shingles, min(reach) AS component_id
+FROM reached r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
 def runners() -> dict[str, Runner]:
     return {
         "op1_brown_score": op1_brown_score,
@@ -114,8 +159,11 @@ def runners() -> dict[str, Runner]:
         "op8_simhash_near_dedup": op8_simhash_near_dedup,
         "op9_token_counts": op9_token_counts,
         "op10_best_fit_packing": op10_best_fit_packing,
+        "op11_conversation_repair": op11_conversation_repair,
+        "op12_spelling_variants": op12_spelling_variants,
+        "op13_jaccard_join": op13_jaccard_join,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"op5_exact_dedup": EXACT_SQL}
+    return {"op5_exact_dedup": EXACT_SQL, "op13_jaccard_join": JACCARD_SQL}
