@@ -15,12 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.llm import jaccard
 from panelspark.llm.components import components
+from panelspark.llm.shingles import SEED, shingles_of
 from panelspark.llm.store import settle
-from panelspark.llm.words import Hasher, Words, buffer_of, lower_words, mix, single_spaced, slices
+from panelspark.llm.words import buffer_of, mix, slices
 from panelspark.llm.xxh64 import xxh64
 
-SEED = 42
 #: Spreads the bits of a byte over the byte lanes of a 64-bit word: lane k gets bit k.
 _LANES = sum((((np.arange(256, dtype=np.uint64) >> np.uint64(k)) & np.uint64(1)) << np.uint64(8 * k)) for k in range(8))
 
@@ -46,40 +47,12 @@ def majority(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def _shingles(data: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
-    """The words of a run of texts, where their shingles (all words, where a text has fewer) start and end, and the bounds of the texts."""
-    words = single_spaced(lower_words(data, offsets))
-    n = words.per_text()
-    shingles = np.where(n >= shingle, n - shingle + 1, np.minimum(n, 1))
-    bounds = np.concatenate([[0], np.cumsum(shingles)])
-    first = np.repeat(words.bounds[:-1] - bounds[:-1], shingles) + np.arange(bounds[-1])
-    last = first + np.repeat(np.minimum(n, shingle), shingles) - 1
-    return words, words.start[first], words.end[last], bounds
-
-
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted hashes of each text's distinct shingles, the bounds of the texts, and a 64-bit digest of each set."""
-    words, start, end, bounds = _shingles(data, offsets, shingle)
-    n_texts = len(bounds) - 1
-    hashes, of = Hasher(words.data)(start, end), np.repeat(np.arange(n_texts), np.diff(bounds))
-    order = np.lexsort((hashes, of))
-    hashes, of = hashes[order], of[order]
-    first = np.ones(len(of), bool)
-    first[1:] = (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])
-    hashes, of = hashes[first], of[first]
-    bounds = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=n_texts))])
-    digest, some = np.zeros(n_texts, np.uint64), np.diff(bounds) > 0
-    if some.any():
-        digest[some] = np.add.reduceat(mix(hashes ^ np.uint64(SEED)), bounds[:-1][some])
-    return hashes, bounds, digest
-
-
 def fingerprint_slice(data: np.ndarray, offsets: np.ndarray, shingle: int, width: int = 1) -> np.ndarray:
     """Fingerprints of a run of texts, ``width`` words of 64 bits each, from their shingles (all words, where a text has fewer).
 
     The first word is made of the shingles' XXH64 hashes, further ones of these hashes mixed anew.
     """
-    words, start, end, bounds = _shingles(data, offsets, shingle)
+    words, start, end, bounds = shingles_of(data, offsets, shingle)
     hashes = xxh64(words.data, start, end, SEED)
     more = [mix(hashes ^ np.uint64(k)) for k in range(1, width)]
     return np.stack([majority(h, bounds) for h in (hashes, *more)], axis=1)
@@ -199,8 +172,11 @@ def _buckets(batches: Iterator[pa.RecordBatch], bucket: int) -> Iterator[tuple[l
         yield wait, False
 
 
-def _bucket_links(rows: DataFrame, radius: int, bucket: int) -> DataFrame:
-    """(a, b, mask) from (key, node, fp0, …): links inside each bucket, and the members of too large ones with their mask (b null)."""
+def _bucket_links(rows: DataFrame, radius: int, bucket: int, final: set[int]) -> DataFrame:
+    """(a, b, mask) from (key, node, fp0, …): links inside each bucket, and the members of too large ones with their mask (b null).
+
+    Buckets of a ``final`` mask, which no cut makes smaller, are compared at any size: fingerprints are distinct, so they have few members.
+    """
 
     def out(a: np.ndarray, b: np.ndarray | None, mask: np.ndarray | None) -> pa.RecordBatch:
         none = pa.nulls(len(a), pa.int64())
@@ -217,14 +193,22 @@ def _bucket_links(rows: DataFrame, radius: int, bucket: int) -> DataFrame:
         for now, crowded in _buckets(batches, bucket):
             yield out(now[1], None, now[0] & ((1 << MASK_BITS) - 1)) if crowded else linked(*now)
 
+    def run_final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for now, _ in _buckets(batches, 1 << 40):
+            yield linked(*now)
+
+    if final:
+        sorted_rows = rows.repartition("key").sortWithinPartitions("key")
+        ends = F.col("key").bitwiseAND((1 << MASK_BITS) - 1).isin(sorted(final))
+        done = sorted_rows.filter(ends).mapInArrow(run_final, "a long, b long, mask long")
+        return done.unionByName(sorted_rows.filter(~ends).mapInArrow(run, "a long, b long, mask long"))
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long, mask long")
 
 
 def links(nodes: DataFrame, radius: int = 3, segments: int = 2, bucket: int = BUCKET) -> DataFrame:
     """(a, b): links that connect nodes whose fingerprints differ in at most ``radius`` bits; ``nodes`` has node, fp0, …, all distinct.
 
-    All such pairs meet if ``radius < 2 * segments``.  With a larger radius those that differ in fewer than
-    ``2 * segments`` bits surely meet, the others with a probability (see :func:`drop_near_copies`).
+    All such pairs meet, as ``radius < 2 * segments``.
 
     Inside a bucket only links that join something are returned, not all pairs.  A bucket with over ``bucket``
     members is cut by variants of the bits that it leaves free.  At radius 3 that leaves at most 33, 18 and 10 free bits
@@ -234,7 +218,7 @@ def links(nodes: DataFrame, radius: int = 3, segments: int = 2, bucket: int = BU
     width = len(names)
     masks = cuts(0, segments, width)
     rows, found = nodes, None
-    owner = None
+    owner, final = None, set()
     while True:
         # Which mask a variant belongs to is part of its key.
         if len(masks) >= 1 << MASK_BITS:
@@ -248,14 +232,16 @@ def links(nodes: DataFrame, radius: int = 3, segments: int = 2, bucket: int = BU
             varied = rows.join(F.broadcast(spark.createDataFrame(listed, kinds)), "mask")
         hashed = F.xxhash64("nth", *[F.col(n).bitwiseAND(F.col(f"m{k}")) for k, n in enumerate(names)])
         key = F.shiftleft(hashed, MASK_BITS).bitwiseOR(F.col("nth").cast("long"))
-        level = settle(_bucket_links(varied.select(key.alias("key"), "node", *names), radius, bucket), "simhash-links")
+        level = settle(_bucket_links(varied.select(key.alias("key"), "node", *names), radius, bucket, final), "simhash-links")
         here = level.filter("b is not null").select("a", "b")
         found = here if found is None else found.unionByName(here)
         hot = level.filter("b is null").select(F.col("a").alias("node"), "mask").distinct()
         crowded = sorted(r[0] for r in hot.select("mask").distinct().collect())
         if not crowded:
             return found
-        finer = [(m, x) for m in crowded for x in cuts(masks[m], segments, width)]
+        finer = [(m, x) for m in crowded for x in dict.fromkeys(cuts(masks[m], segments, width))]
+        # A segment of one bit: leaving it out keeps nothing more, so such a bucket, of few members, is compared as it stands.
+        final = {i for i, (m, x) in enumerate(finer) if x == masks[m]}
         owner, masks = [m for m, _ in finer], [x for _, x in finer]
         rows = hot.join(nodes, "node")
 
@@ -283,24 +269,6 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def set_rows(docs: DataFrame, id_col: str, text_col: str, shingle: int, width: int) -> DataFrame:
-    """(id, node, n, fp0, …) for each row with a word: digest and size of its set of shingles, and its fingerprint."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, end, d, o in slices(*buffer_of(batch.column(1))):
-                _, bounds, digest = shingle_sets(d, o, shingle)
-                fp = fingerprint_slice(d, o, shingle, width).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, end - first), pa.array(digest.view(np.int64)), pa.array(np.diff(bounds)), *(pa.array(np.ascontiguousarray(f)) for f in fp.T)],
-                    names=["id", "node", "n", *_names(width)],
-                )
-
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    longs = "".join(f", {n} long" for n in _names(width))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, node long, n long{longs}").filter("n > 0")
-
-
 def met(nodes: DataFrame, radius: int, segments: int, bucket: int = BUCKET) -> DataFrame:
     """(a, b): pairs of ``nodes`` (node, fp0, …) that meet in a bucket of variants and differ in at most ``radius`` bits.
 
@@ -332,148 +300,30 @@ def met(nodes: DataFrame, radius: int, segments: int, bucket: int = BUCKET) -> D
     return varied.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 
-def alike(pairs: DataFrame, docs: DataFrame, text_col: str, shingle: int, similarity: float) -> DataFrame:
-    """Those of the distinct ``pairs`` (a, b) of nodes whose sets of shingles have a Jaccard similarity of at least ``similarity``."""
-    pairs = settle(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct(), "near-pairs")
-    wanted = settle(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near-pair-nodes")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, d, o in slices(*buffer_of(batch.column(0))):
-                hashes, bounds, digest = shingle_sets(d, o, shingle)
-                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(hashes.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), lists], names=["node", "shingles"])
-
-    sets = docs.select(text_col).mapInArrow(run, "node long, shingles array<long>").join(wanted, "node", "left_semi")
-    sets = settle(sets.dropDuplicates(["node"]), "near-pair-sets")
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b"
-    )
-    shared = F.size(F.array_intersect("of_a", "of_b"))
-    union = F.size("of_a") + F.size("of_b") - shared
-    return settle(both.filter(shared >= similarity * union - 1e-9).select("a", "b"), "near-links")
-
-
-#: Slots of the table of how common shingles are.  It only orders them, so shingles that share a slot do no harm.
-SLOTS = 1 << 20
-
-
-def commonness(docs: DataFrame, text_col: str, shingle: int) -> np.ndarray:
-    """For each slot how many texts have a shingle in it, counted once for each such shingle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SLOTS, np.int64)
-        for batch in batches:
-            for _, _, d, o in slices(*buffer_of(batch.column(0))):
-                np.add.at(counts, (shingle_sets(d, o, shingle)[0] % np.uint64(SLOTS)).astype(np.int64), 1)
-        some = np.flatnonzero(counts)
-        for a in range(0, len(some), 1 << 16):
-            part = some[a : a + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(counts[part])], names=["slot", "n"])
-
-    found = docs.select(text_col).mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(SLOTS, np.int64)
-    counts[found.column(0).to_numpy()] = found.column(1).to_numpy()
-    return counts
-
-
-def prefixes(docs: DataFrame, text_col: str, shingle: int, similarity: float) -> DataFrame:
-    """(key, node, n, at): for each text the rarest of its ``n`` shingles, so many that two alike texts share one; ``at`` is the place.
-
-    Two sets of n and m shingles that are alike share at least ``similarity * max(n, m)`` of them.  So if both are put into the
-    same order, the first ``n - similarity * n + 1`` of each have one in common.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(commonness(docs, text_col, shingle))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, d, o in slices(*buffer_of(batch.column(0))):
-                hashes, bounds, digest = shingle_sets(d, o, shingle)
-                n = np.diff(bounds)
-                of = np.repeat(np.arange(len(n)), n)
-                common = shared.value[(hashes % np.uint64(SLOTS)).astype(np.int64)]
-                order = np.lexsort((hashes, common, of))
-                at = np.arange(len(hashes)) - np.repeat(bounds[:-1], n)
-                # What is alone in its slot is in no other text.
-                kept = (at <= (n - np.ceil(similarity * n - 1e-9))[of]) & (common[order] > 1)
-                of = of[kept]
-                columns = hashes[order][kept].view(np.int64), digest[of].view(np.int64), n[of].astype(np.int32), at[kept].astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "n", "at"])
-
-    return docs.select(text_col).mapInArrow(run, "key long, node long, n int, at int")
-
-
-def _fitting(now: list[np.ndarray], similarity: float) -> Iterator[pa.RecordBatch]:
-    """(a, b): pairs of rows (key, node, n, at, root, side) of one key that may be alike and are not connected yet.
-
-    What follows a pair's first common shingle in both texts must suffice for the similarity.  Rows of side -1 meet all; others
-    only those of another side.
-    """
-    key, node, n, at, root, side = now
-    i, lag = np.arange(len(key)), 1
-    while True:
-        i = i[i + lag < len(key)]
-        i = i[key[i] == key[i + lag]]
-        if not len(i):
-            return
-        j = i + lag
-        best = np.minimum(n[i] - at[i], n[j] - at[j]).astype(np.int64)
-        fit = (root[i] != root[j]) & ((side[i] != side[j]) | (side[i] < 0)) & (best >= similarity * (n[i] + n[j] - best) - 1e-9)
-        if fit.any():
-            yield pa.RecordBatch.from_arrays([pa.array(node[i[fit]]), pa.array(node[j[fit]])], names=["a", "b"])
-        lag += 1
-
-
-def prefix_pairs(rows: DataFrame, similarity: float, bucket: int = BUCKET) -> DataFrame:
-    """(a, b): all pairs of the settled ``rows`` (key, node, n, at, root) with a common key that may be alike, roots being different.
-
-    A key with more than ``bucket`` rows is cut into blocks, and each pair of blocks is a bucket of its own, wherever
-    it is dealt; no pair is left out.
-    """
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("root").alias("low"), F.max("root").alias("high"))
-    sizes = settle(sizes.filter("low <> high").select("key", F.ceil(F.col("rows") / bucket).cast("int").alias("blocks")), "prefix-keys")
-    sized = rows.join(sizes, "key")
-    few = sized.filter("blocks = 1").select("key", "node", "n", "at", "root", F.lit(-1).alias("side"))
-    mine = F.pmod(F.xxhash64("node"), "blocks").cast("int")
-    many = sized.filter("blocks > 1").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other"))
-    side = F.when(F.col("mine") == F.col("other"), -1).otherwise(F.col("mine"))
-    many = many.select(dealt.alias("key"), "node", "n", "at", "root", side.alias("side"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Nothing is crowded: blocks are cut by hash, so a bucket may be somewhat larger than two blocks, not much.
-        for now, _ in _buckets(batches, 1 << 40):
-            yield from _fitting(now, similarity)
-
-    both = few.unionByName(many).repartition("key").sortWithinPartitions("key")
-    return both.mapInArrow(run, "a long, b long")
-
-
 def drop_near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, width: int = 2, radius: int = 24, segments: int = 8, similarity: float = 0.8
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 7, segments: int = 4, percent: int = 80
 ) -> DataFrame:
     """``docs`` without all but one document of each group of near copies: the one with the smallest id.
 
-    Near copies are linked texts: those whose sets of shingles have a Jaccard similarity of at least ``similarity``.  Texts with
-    equal sets are one node.  Fingerprints (128 bits by default) find most links at low cost.  Then texts that are not
-    connected yet meet where they share one of their rarest shingles, which all alike texts do (see :func:`prefixes`).  Each link is
-    checked on the shingles themselves.  So the groups are those of all pairs, at any radius, number of segments or size of the corpus.
+    Near copies are linked texts: those whose sets of shingles have a Jaccard similarity of at least ``percent`` hundredths.  Texts
+    with equal sets are one node.  Fingerprints within ``radius`` bits, which is less than ``2 * segments``, give the first
+    candidates: nearly all pairs of a similarity of 0.95, and fewer of less similar ones (two texts at 0.8 differ in about ten of 64 bits, and
+    segments for that many would be too short to tell texts apart).  Texts that are not joined by then meet in the cells of
+    :mod:`panelspark.llm.jaccard`, which lose no link.  Each link is checked on the sets themselves, so the groups are those of all pairs.
 
     Texts with no word have no shingle to compare and stay.  Of rows with the same id all stay or go together; a
     row without an id goes where a row with one is in its group.  Texts stay where they are unless the list of what goes is too
     large to broadcast.
     """
-    rows = settle(set_rows(docs, id_col, text_col, shingle, width), "shingle-rows")
-    fp = F.min(F.struct(*_names(width))).alias("fp")
-    nodes = settle(rows.groupBy("node").agg(fp).select("node", "fp.*"), "shingle-nodes")
-    linked = alike(met(nodes, radius, segments), docs, text_col, shingle, similarity)
-    roots = settle(components(linked), "near-roots")
-    shared = prefixes(docs, text_col, shingle, similarity).join(roots, "node", "left")
-    shared = settle(shared.select("key", "node", "n", "at", F.coalesce("root", "node").alias("root")), "prefixes")
-    more = alike(prefix_pairs(shared, similarity), docs, text_col, shingle, similarity)
-    grouped = rows.select("id", "node").join(components(linked.unionByName(more)), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    grouped = settle(grouped.select("id", "root"), "near-groups")
-    least = grouped.groupBy("root").agg(F.min("id").alias("least"))
-    gone = grouped.join(least, "root").filter(~F.col("id").eqNullSafe(F.col("least")))
+
+    def prints(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        return fingerprint_slice(data, offsets, shingle)[:, 0].view(np.int64)
+
+    rows, nodes = jaccard.sets_and_nodes(docs, id_col, text_col, shingle, percent, prints)
+    near = met(nodes.select("node", F.col("extra").alias("fp0")), radius, segments)
+    near = settle(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
+    known = jaccard.verified(near, nodes, docs, text_col, shingle, percent)
+    grouped = jaccard.named_groups(rows, nodes, jaccard.linked(docs, nodes, text_col, shingle, percent, known=known))
+    gone = grouped.filter((F.col("n") > 0) & ~F.col("id").eqNullSafe(F.col("component_id")))
     gone = settle(gone.select(F.col("id").alias("_gone")).distinct(), "near-copies")
     return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")

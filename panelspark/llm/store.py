@@ -24,3 +24,10 @@ def settle(df: DataFrame, label: str, *partitions: str) -> DataFrame:
         spark.conf.set(_CLEANUP, before)
     tables.drop_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop(settled: DataFrame) -> None:
+    """Deletes a settled table that nothing reads any more, so that it takes no disk while the rest runs."""
+    for file in settled.inputFiles():
+        place, files = tables._path(settled.sparkSession, file)
+        files.delete(place, False)

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from panelspark.llm import brown, components, decontaminate, exact, langid, licenses, packing, repeats, simhash, tokencount, toxicity
+from panelspark.llm import brown, components, decontaminate, exact, jaccard, langid, licenses, packing, repeats, simhash, tokencount, toxicity
 from panelspark.llm.queries import tokenizer_path
 from panelspark.shipping import ship
 from panelspark.tables import shared_dir
@@ -138,8 +138,8 @@ def test_finer_cuts_lose_no_link(spark):
     centre = rng.randint(0, 2**62, 4)
     near = np.unique(np.concatenate([c ^ (1 << rng.randint(0, 60, 60)) ^ (1 << rng.randint(0, 12, 60)) for c in centre]))
     nodes = spark.createDataFrame([(i, int(x)) for i, x in enumerate(near)], "node long, fp0 long")
-    few, many = (sorted(components.components(simhash.links(nodes, 3, 2, b)).collect()) for b in (3, 2048))
-    assert few == many and len({r.root for r in few}) == 4
+    least, few, many = (sorted(components.components(simhash.links(nodes, 3, 2, b)).collect()) for b in (3, 24, 2048))
+    assert least == few == many and len({r.root for r in few}) == 4
 
 
 def test_drop_near_copies(spark):
@@ -189,7 +189,7 @@ def test_clean_documents_are_no_near_copies(spark):
     rows += [(k, "again " * 40 + " ".join(f"v{k}x{j}" for j in range(20))) for k in (90, 91)]
     got = sorted(r.doc_id for r in simhash.drop_near_copies(frame(spark, rows)).collect())
     want = kept_by_jaccard(rows)
-    assert {90, 91} <= set(want) <= set(got) and len(want) < len(rows)
+    assert {90, 91} <= set(want) and got == want and len(want) < len(rows)
 
 
 def test_no_near_copy_is_missed(spark):
@@ -203,13 +203,15 @@ def test_no_near_copy_is_missed(spark):
     assert got == kept_by_jaccard([(i, t.lower()) for i, t in rows])
 
 
-@pytest.mark.parametrize("bucket", [2, 5, 2048])
-def test_crowded_keys_lose_no_pair(spark, bucket):
+@pytest.mark.parametrize("block_bytes", [300, 1000, 1 << 20])
+def test_crowded_cells_lose_no_pair(spark, block_bytes):
     rng = random.Random(7)
-    kept = [(key, node, 5, 0, root) for key in range(3) for node, root in ((n, n // 3) for n in rng.sample(range(100), 12 * key + 1))]
-    rows = spark.createDataFrame(kept, "key long, node long, n int, at int, root long")
-    got = {tuple(sorted(r)) for r in simhash.prefix_pairs(rows, 0.8, bucket).collect()}
-    assert got == {tuple(sorted((a[1], b[1]))) for a in kept for b in kept if a[0] == b[0] and a[4] < b[4]}
+    point = bytes([1] * 5 + [0] * 123)
+    kept = [(key, node, 5, label, point) for key in range(3) for node, label in ((n, n // 3) for n in rng.sample(range(100), 12 * key + 1))]
+    rows = spark.createDataFrame(kept, "key long, node long, n long, label long, point binary")
+    got = [tuple(r) for r in jaccard.searched(rows, 80, block_bytes).collect()]
+    want = {tuple(sorted((a[1], b[1]))) for a in kept for b in kept if a[0] == b[0] and a[3] < b[3]}
+    assert set(got) == want and len(got) == len(want)
 
 
 def test_crowded_buckets_tie_all_members(spark):
