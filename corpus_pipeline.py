@@ -31,9 +31,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by fingerprints over five-word shingles (a similarity of about 0.8 or more), the smallest doc_id stays."""
+    """Of documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, the smallest doc_id of each group stays."""
     ship(spark)
-    return simhash.drop_near_copies(docs, shingle=5)
+    return simhash.drop_near_copies(docs, shingle=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
