@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
-_FAMILIES = ("winners", "cleaning", "joins", "shaping", "panels", "files", "domains", "profiling", "modelling")
+_FAMILIES = ("winners", "cleaning", "joins", "shaping", "panels", "files", "stored", "domains", "profiling", "modelling")
 _RUNNERS: dict[str, Runner] = {}
 _ORACLES: dict[str, str] = {}
 
