@@ -12,15 +12,12 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from statistics import fmean, pstdev
 
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.functions.text import panel_key_year
-from panelspark.ml import evaluate, models, scale, split
+from panelspark.ml import evaluate, forest, models, scale, split
 from panelspark.ml.noise import add_noise
 from panelspark.ml.predict import keep_chosen_years
 from panelspark.operators.lookup import map_values
@@ -238,40 +235,39 @@ def yearly_results(predicted: DataFrame, yearly: DataFrame, class_names: dict[in
     )
 
 
-# The forest grid.  Depth 0 stands for unlimited, which Spark bounds at 30; it has no minimum of rows to split a node, so
-# the least rows of a leaf take the place of that axis.
-FOREST_GRID = {"trees": (50, 100, 200), "depth": (0, 10, 20), "leaf": (1, 2, 5)}
+# The forest grid.  Depth 0 stands for unlimited; ``split`` is the least rows of a node that is split.
+FOREST_GRID = {"trees": (50, 100, 200), "depth": (0, 10, 20), "split": (2, 5, 10)}
 
 
-def grid_search(data: Prepared, grid: dict[str, Sequence[int]] = FOREST_GRID, seed: int = 42):
-    """(scores of every forest of the grid, best forest); the grid runs on the folds of the training rows."""
-    spark = data.frame.sparkSession
-    forest = RandomForestClassifier(featuresCol="x", labelCol="idx", seed=seed)
-    maps = (
-        ParamGridBuilder()
-        .addGrid(forest.numTrees, list(grid["trees"]))
-        .addGrid(forest.maxDepth, [d or 30 for d in grid["depth"]])
-        .addGrid(forest.minInstancesPerNode, list(grid["leaf"]))
-        .build()
+@dataclass(frozen=True)
+class GridSearch:
+    """``by_fold``: accuracy and rows of every cell and fold; ``scores``: mean and deviation by cell; ``best``: the best cell, the first of equals."""
+
+    by_fold: DataFrame
+    scores: DataFrame
+    best: forest.Cell
+    grown: forest.Grown
+    folds: int
+
+
+def grid_search(data: Prepared, grid: dict[str, Sequence[int]] = FOREST_GRID, seed: int = 42) -> GridSearch:
+    """Every forest of the grid on the folds of the training rows, and on all of them for the test rows; see :mod:`panelspark.ml.forest`."""
+    features, classes = len(data.features), len(data.rows.classes)
+    rows = data.frame.select("key", "idx", "part", "fold", F.col("standard").alias("v"))
+    rows = settle(forest.binned(rows, features).drop("v"), "forest-bins")
+    grown = forest.grow(rows, data.folds, features, classes, grid, seed)
+    by_fold = settle(forest.scores(grown, data.folds, classes, grid), "forest-scores")
+    scores = by_fold.filter(F.col("fold") < data.folds).groupBy("trees", "depth", "split").agg(
+        F.avg("accuracy").alias("cv_mean"), F.stddev_pop("accuracy").alias("cv_std")
     )
-    search = CrossValidator(
-        estimator=forest,
-        estimatorParamMaps=maps,
-        evaluator=MulticlassClassificationEvaluator(labelCol="idx", metricName="accuracy"),
-        numFolds=data.folds,
-        foldCol="fold",
-        parallelism=THREADS,
-    ).fit(data.part("train", "standard"))
-    rows = [
-        (m[forest.numTrees], m[forest.maxDepth], m[forest.minInstancesPerNode], float(mean), float(std))
-        for m, mean, std in zip(maps, search.avgMetrics, search.stdMetrics)
-    ]
-    return spark.createDataFrame(rows, "trees int, depth int, leaf int, cv_mean double, cv_std double"), search.bestModel
-
-
-def importances(model, features: Sequence[str], spark) -> DataFrame:
-    """Feature importances of a tree model, the largest first."""
-    rows = [(name, float(weight)) for name, weight in zip(features, model.featureImportances.toArray())]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
+    # One row for each cell of the grid.
+    ranked = sorted(scores.collect(), key=lambda r: (-round(r.cv_mean, 9), r.trees, r.depth or forest.DEEPEST, r.split))
+    best = forest.Cell(ranked[0].trees, ranked[0].depth, ranked[0].split)
+    return GridSearch(by_fold, scores, best, grown, data.folds)
 
 
+def importances(search: GridSearch, features: Sequence[str]) -> DataFrame:
+    """Feature importances of the best forest of a search, fitted to all training rows, the largest first."""
+    found = forest.importances(search.grown, search.folds, search.best, len(features))
+    names = F.array(*[F.lit(n) for n in features])
+    return found.select(F.get(names, F.col("feature")).alias("feature"), "importance").orderBy(F.desc("importance"), "feature")

@@ -348,19 +348,48 @@ def ml_prepared_rows(spark, sf):
     return rows.withColumn("fold", F.col("fold").cast("bigint"))
 
 
+#: Searches by application and folder; their tables are settled, so they last as long as the application.
+_SEARCHES: dict = {}
+
+
+def _grid(spark, sf):
+    """One search serves all queries that ask for it."""
+    from panelspark.ml import pipeline
+
+    key = spark.sparkContext.applicationId, sf
+    if key not in _SEARCHES:
+        _SEARCHES[key] = pipeline.grid_search(_prepared(spark, sf, train_percent=70))
+    return _SEARCHES[key]
+
+
 @query("ml_grid_search")
 def ml_grid_search(spark, sf):
-    from panelspark.ml import pipeline
+    """Mean accuracy of the 27 forests of the grid over the folds."""
+    return _grid(spark, sf).scores
 
-    return pipeline.grid_search(_prepared(spark, sf, train_percent=70))[0]
+
+@query(
+    "ml_grid_rows",
+    f"""WITH labelled AS (SELECT c_custkey AS id, CASE c_mktsegment WHEN 'BUILDING' THEN 1 WHEN 'FURNITURE' THEN 2 WHEN 'HOUSEHOLD' THEN 2
+        WHEN 'MACHINERY' THEN 3 WHEN 'AUTOMOBILE' THEN 4 END::BIGINT AS label FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)),
+      {_PARTS.replace("80", "70")}, k AS (SELECT greatest(2, least(5, min(n))) AS folds FROM (SELECT count(*) AS n FROM parts WHERE part = 'train' GROUP BY label)),
+      f AS (SELECT CASE part WHEN 'test' THEN folds
+          ELSE (row_number() OVER (PARTITION BY part, label ORDER BY md5(concat(CAST(id AS VARCHAR), '|42')), id) - 1) % folds END AS fold
+        FROM parts CROSS JOIN k)
+    SELECT t.trees::BIGINT AS trees, d.depth::BIGINT AS depth, s.split::BIGINT AS split, fold::BIGINT AS fold, count(*) AS n_rows, true AS in_range
+    FROM f, (VALUES (50), (100), (200)) t(trees), (VALUES (0), (10), (20)) d(depth), (VALUES (2), (5), (10)) s(split) GROUP BY 1, 2, 3, 4""",
+)
+def ml_grid_rows(spark, sf):
+    """How many rows every forest of the grid was judged on, by fold (the last one: the test rows), and whether its accuracy can be one."""
+    found = _grid(spark, sf).by_fold
+    return found.select(*[big(c) for c in ("trees", "depth", "split", "fold")], "n_rows", F.col("accuracy").between(0, 1).alias("in_range"))
 
 
 @query("ml_importances")
 def ml_importances(spark, sf):
     from panelspark.ml import pipeline
 
-    best = pipeline.grid_search(_prepared(spark, sf, train_percent=70))[1]
-    return pipeline.importances(best, CUSTOMER_FEATURES, spark)
+    return pipeline.importances(_grid(spark, sf), CUSTOMER_FEATURES)
 
 
 @query("ml_year_models")

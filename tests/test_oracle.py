@@ -19,6 +19,6 @@ def con():
     return connect(ROOT)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"ml_model_results", "ml_year_models", "ml_grid_search"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"ml_model_results", "ml_year_models"}))
 def test_query(spark, con, name):
     assert compare(spark, con, QUERIES[name], oracles().get(name), ROOT) == ""
