@@ -4,6 +4,9 @@ Features are hashed words and word beginnings, weighted by log(1 + count) and ra
 category's probability of a row comes from a model that has not seen this row (out of fold), so later models learn
 how far it can be trusted; for prediction each category has one model fitted on all training rows.
 
+All models of a category, the one on all rows and one for each fold, are fitted together: each step goes over the rows once and
+adds up the losses and slopes of all of them in the tasks, so the driver gets one vector from each of a fixed number of partitions.
+
 Null and empty texts have no feature and get the probability of the intercept.  Rows with a null label are not learnt from;
 repeated rows count as often as they occur.  A category that has one value only in training gets that value as probability.
 """
@@ -11,16 +14,14 @@ repeated rows count as often as they occur.  A category that has one value only
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelspark.llm.store import settle
 from panelspark.llm.words import Hasher, buffer_of, code_points, find_words, mix, slices
@@ -28,6 +29,8 @@ from panelspark.llm.words import Hasher, buffer_of, code_points, find_words, mix
 U = np.uint64
 #: Letters of a word beginning.
 BEGINNING = 5
+#: Partitions of the training rows while they are fitted; their number is bounded by the sample.
+PARTS = 8
 
 
 @functools.cache
@@ -60,16 +63,23 @@ def scaled(text: np.ndarray, index: np.ndarray, value: np.ndarray, rarity: np.nd
 class Chain:
     """Weights of each category in order: one for each feature, one for each earlier category, and the intercept.
 
+    ``place`` gives the number of a hashed feature among those with weights, or -1; ``rarity`` goes by that number.
     ``thresholds`` are the probabilities from which a category is best taken for given.
     """
 
     labels: list[str]
-    size: int
+    place: np.ndarray
     rarity: np.ndarray
-    weights: list[np.ndarray]
-    earlier: list[np.ndarray]
-    intercepts: list[float]
-    thresholds: list[float]
+    weights: list[np.ndarray] = field(default_factory=list)
+    earlier: list[np.ndarray] = field(default_factory=list)
+    intercepts: list[float] = field(default_factory=list)
+    thresholds: list[float] = field(default_factory=list)
+
+    def known(self, text: np.ndarray, index: np.ndarray, value: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, number and scaled value of the features that have weights."""
+        place = self.place[index]
+        kept = place >= 0
+        return text[kept], place[kept], scaled(text[kept], place[kept], value[kept], self.rarity, n_texts)
 
 
 def _counted(rows: DataFrame, size: int, labels: Sequence[str]) -> DataFrame:
@@ -94,26 +104,36 @@ def _counted(rows: DataFrame, size: int, labels: Sequence[str]) -> DataFrame:
     return rows.mapInArrow(run, f"key long, {ys}, index array<int>, value array<double>")
 
 
-def _rarity(counted: DataFrame, size: int, least_rows: int) -> np.ndarray:
-    """Log of how rare each feature is; zero for those in fewer than ``least_rows`` training rows, of which nothing can be learnt."""
+def _numbered(counted: DataFrame, size: int, least_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of the features of at least ``least_rows`` training rows (-1: of fewer, nothing can be learnt), and the log of their rarity."""
     n = counted.count()
     seen = counted.select(F.explode("index").alias("index")).groupBy("index").count().filter(F.col("count") >= least_rows).toArrow()
-    rarity = np.zeros(size)
-    rarity[seen.column(0).to_numpy()] = np.log((n + 1) / seen.column(1).to_numpy())
-    return rarity
+    index, count = seen.column(0).to_numpy(), seen.column(1).to_numpy()
+    order = np.argsort(index)
+    place = np.full(size, -1, np.int32)
+    place[index[order]] = np.arange(len(index))
+    return place, np.log((n + 1) / count[order])
 
 
-def _vectors(counted: DataFrame, rarity: np.ndarray) -> DataFrame:
-    shared, size = counted.sparkSession.sparkContext.broadcast(rarity), len(rarity)
+def _lists(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, index and value of the features of a batch; columns ``index`` and ``value``."""
+    index, value = batch.column("index"), batch.column("value")
+    row = np.repeat(np.arange(batch.num_rows), index.value_lengths().to_numpy())
+    return row, index.flatten().to_numpy().astype(np.int64), value.flatten().to_numpy()
 
-    @F.udf(VectorUDT())
-    def vector(index, value):
-        index, value = np.array(index, np.int64), np.array(value, float)
-        kept = shared.value[index] > 0
-        index, value = index[kept], value[kept]
-        return SparseVector(size, index, scaled(np.zeros(len(index), int), index, value, shared.value, 1))
 
-    return counted.withColumn("features", vector("index", "value")).drop("index", "value")
+def _inputs(counted: DataFrame, chain: Chain) -> DataFrame:
+    """The training rows with the numbers of their features and the scaled values."""
+    shared = counted.sparkSession.sparkContext.broadcast(chain)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, index, value = shared.value.known(*_lists(batch), batch.num_rows)
+            at = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=batch.num_rows))]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(at, pa.array(x)) for x in (index.astype(np.int32), value)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *lists], names=batch.schema.names)
+
+    return counted.mapInArrow(run, counted.schema)
 
 
 def train(
@@ -131,15 +151,17 @@ def train(
     # The sample has a proven bound, so the documents need not move to meet it.
     rows = docs.select(F.col(id_col).alias("_id"), F.lower(text_col).alias("text")).join(F.broadcast(known), "_id")
     counted = settle(_counted(rows.select(F.xxhash64("_id").alias("key"), "text", *[f"_y{k}" for k in range(len(chain))]), size, chain), "toxic-rows")
-    found = Chain(list(chain), size, _rarity(counted, size, least_rows), [], [], [], [])
-    data = settle(_vectors(counted, found.rarity), "toxic-vectors")
+    found = Chain(list(chain), *_numbered(counted, size, least_rows))
+    data = settle(_inputs(counted, found), "toxic-inputs")
     for k in range(len(chain)):
         # Fits go over the rows many times: a few partitions in memory, which Spark builds anew if they are lost.
-        inputs = _with_earlier(data, size, k).coalesce(8).persist()
-        _fit_one(found, inputs, k, penalty)
-        parts = [_out_of_fold(inputs, k, fold, folds, penalty) for fold in range(folds)]
-        data = settle(functools.reduce(DataFrame.unionByName, parts), "toxic-folds")
-        inputs.unpersist()
+        rows = data.coalesce(PARTS).persist()
+        fitted = _fit(rows, k, len(found.rarity), folds, penalty)
+        found.weights.append(fitted[folds, : len(found.rarity)])
+        found.earlier.append(fitted[folds, len(found.rarity) : -1])
+        found.intercepts.append(float(fitted[folds, -1]))
+        data = settle(_out_of_fold(rows, k, fitted[:folds]), "toxic-folds")
+        rows.unpersist()
         # As many rows as the sample has.
         judged = data.select(f"y{k}", f"p{k}").toArrow()
         found.thresholds.append(best_threshold(judged.column(0).to_numpy(), judged.column(1).to_numpy()))
@@ -158,49 +180,136 @@ def best_threshold(truth: np.ndarray, probability: np.ndarray) -> float:
     return float((p[best] + (p[best + 1] if best + 1 < len(p) else 0)) / 2)
 
 
-def _with_earlier(data: DataFrame, size: int, k: int) -> DataFrame:
-    """Column ``input``: the features, followed by the probabilities of ``k`` earlier categories."""
-
-    @F.udf(VectorUDT())
-    def longer(vector, earlier):
-        return SparseVector(size + k, [*vector.indices.tolist(), *range(size, size + k)], [*vector.values.tolist(), *earlier])
+def logistic(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
-    if not k:
-        return data.withColumn("input", F.col("features"))
-    return data.withColumn("input", longer("features", F.array(*[f"p{i}" for i in range(k)])))
 
+def _margins(batch: pa.RecordBatch, k: int, weights: np.ndarray) -> np.ndarray:
+    """The margin of each row by each model (a row of ``weights``: features, ``k`` earlier probabilities, intercept)."""
+    row, index, value = _lists(batch)
+    earlier = np.array([batch.column(f"p{i}").to_numpy() for i in range(k)]).reshape(k, batch.num_rows)
+    n = weights.shape[1] - k - 1
+    found = [np.bincount(row, w[index] * value, batch.num_rows) + w[n : n + k] @ earlier + w[-1] for w in weights]
+    return np.array(found).reshape(len(weights), batch.num_rows)
 
-def _estimator(k: int, penalty: float) -> LogisticRegression:
-    return LogisticRegression(
-        featuresCol="input", labelCol=f"y{k}", regParam=penalty, maxIter=40, standardization=False, probabilityCol="probability"
-    )
 
+def _slopes(rows: DataFrame, k: int, folds: int, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of losses and of their slopes, of each model over its rows: the first ``folds`` leave their fold out."""
+    shared = rows.sparkSession.sparkContext.broadcast(weights)
 
-def _constant(rows: DataFrame, k: int) -> float | None:
-    """The only value of a category in some rows (0 if there is none), or None if it has both."""
-    lo, hi = rows.agg(F.min(f"y{k}"), F.max(f"y{k}")).first()
-    return (lo or 0.0) if lo == hi else None
-
-
-def _fit_one(found: Chain, rows: DataFrame, k: int, penalty: float) -> None:
-    if (only := _constant(rows, k)) is not None:
-        weights, intercept = np.zeros(found.size + k), 50.0 if only else -50.0
-    else:
-        model = _estimator(k, penalty).fit(rows)
-        weights, intercept = model.coefficients.toArray(), float(model.intercept)
-    found.weights.append(weights[: found.size])
-    found.earlier.append(weights[found.size :])
-    found.intercepts.append(intercept)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = shared.value
+        n = w.shape[1] - k - 1
+        loss, slope = np.zeros(len(w)), np.zeros(w.shape)
+        for batch in batches:
+            row, index, value = _lists(batch)
+            y, fold = batch.column(f"y{k}").to_numpy(), batch.column("key").to_numpy() % folds
+            z = _margins(batch, k, w)
+            for m in range(len(w)):
+                mine = fold != m
+                loss[m] += (np.logaddexp(0, z[m]) - y * z[m])[mine].sum()
+                off = np.where(mine, logistic(z[m]) - y, 0.0)
+                slope[m, :n] += np.bincount(index, off[row] * value, n)
+                for i in range(k):
+                    slope[m, n + i] += off @ batch.column(f"p{i}").to_numpy()
+                slope[m, -1] += off.sum()
+        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([loss, slope.ravel()]).tobytes()])], names=["sums"])
+
+    total = sum(np.frombuffer(x.as_py()) for x in rows.mapInArrow(run, "sums binary").toArrow().column(0))
+    shared.destroy()
+    return total[: len(weights)], total[len(weights) :].reshape(weights.shape)
+
+
+class Descent:
+    """Limited-memory quasi-Newton descent of one function, which is evaluated elsewhere: ``trial`` is where, ``tell`` takes the answer."""
+
+    def __init__(self, start: np.ndarray, memory: int = 10, tolerance: float = 1e-7) -> None:
+        self.trial, self.at, self.done = start, start, False
+        self._value, self._memory, self._tolerance, self._past = np.inf, memory, tolerance, []
+
+    def tell(self, value: float, slope: np.ndarray) -> None:
+        if np.isinf(self._value):
+            self._value, self._slope = value, slope
+            return self._turn()
+        if value > self._value + 1e-4 * self._step * (self._way @ self._slope):
+            self._step /= 4
+            self.done = self._step < 1e-8
+        else:
+            moved, bent, gain = self.trial - self.at, slope - self._slope, self._value - value
+            if moved @ bent > 1e-12 * (bent @ bent):
+                self._past = [*self._past, (moved, bent)][-self._memory :]
+            self.at, self._value, self._slope = self.trial, value, slope
+            self.done = gain <= self._tolerance * max(abs(value), 1e-6)
+            return self._turn()
+        self.trial = self.at + self._step * self._way
+
+    def _turn(self) -> None:
+        """A new direction by the last moves, at first the steepest one."""
+        way, parts = self._slope.copy(), []
+        for moved, bent in reversed(self._past):
+            parts.append((moved @ way) / (moved @ bent))
+            way -= parts[-1] * bent
+        if self._past:
+            moved, bent = self._past[-1]
+            way *= (moved @ bent) / (bent @ bent)
+        for (moved, bent), part in zip(self._past, reversed(parts)):
+            way += (part - (bent @ way) / (moved @ bent)) * moved
+        self._way = -way
+        length = float(np.sqrt(self._slope @ self._slope))
+        self._step = 1.0 if self._past else 1 / max(length, 1.0)
+        self.done = self.done or length < 1e-9
+        self.trial = self.at + self._step * self._way
+
+
+def descend(starts: np.ndarray, evaluate: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], passes: int) -> np.ndarray:
+    """Minimises several functions at once; ``evaluate`` gives values and slopes of all of them, at one place each."""
+    each = [Descent(start) for start in starts]
+    for _ in range(passes):
+        if all(one.done for one in each):
+            break
+        values, slopes = evaluate(np.array([one.trial for one in each]))
+        for one, value, slope in zip(each, values, slopes):
+            if not one.done:
+                one.tell(value, slope)
+    return np.array([one.at for one in each])
+
+
+def _fit(rows: DataFrame, k: int, n_features: int, folds: int, penalty: float, passes: int = 40) -> np.ndarray:
+    """Weights of category ``k``: a model without each fold, then the model on all rows.
+
+    The mean loss plus ``penalty`` / 2 times the squared weights is minimised, in at most ``passes`` passes over the rows.  A model whose rows have one value only is constant.
+    """
+    seen = {r.fold: (r.n, r.given) for r in rows.groupBy(F.pmod("key", F.lit(folds)).alias("fold")).agg(F.count("*").alias("n"), F.sum(f"y{k}").alias("given")).collect()}
+    n, given = (np.array([seen.get(fold, (0, 0.0))[i] for fold in range(folds)], float) for i in range(2))
+    n, given = (np.append(x.sum() - x, x.sum()) for x in (n, given))
+    both = (given > 0) & (given < n)
+    start = np.zeros((folds + 1, n_features + k + 1))
+    start[:, -1] = np.where(given > 0, 50.0, -50.0)
+    start[both, -1] = np.log(given[both] / (n[both] - given[both]))
+    if not both.any():
+        return start
+    weighed = np.append(np.ones(n_features + k), 0.0)
+
+    def evaluate(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        loss, slope = _slopes(rows, k, folds, weights)
+        of = np.maximum(n, 1)
+        loss, slope = loss / of + penalty / 2 * (weights**2 @ weighed), slope / of[:, None] + penalty * weights * weighed
+        return loss, np.where(both[:, None], slope, 0.0)
+
+    return descend(start, evaluate, passes)
+
+
+def _out_of_fold(rows: DataFrame, k: int, weights: np.ndarray) -> DataFrame:
+    """The rows with the probability ``p{k}`` by the model that has not seen their fold."""
+    shared = rows.sparkSession.sparkContext.broadcast(weights)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fold = batch.column("key").to_numpy() % len(weights)
+            p = logistic(_margins(batch, k, shared.value)[fold, np.arange(batch.num_rows)])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=[*batch.schema.names, f"p{k}"])
 
-def _out_of_fold(rows: DataFrame, k: int, fold: int, folds: int, penalty: float) -> DataFrame:
-    """The rows of a fold with the probability ``p{k}`` by a model of all other folds."""
-    own = F.pmod("key", F.lit(folds)) == fold
-    others, mine = rows.filter(~own), rows.filter(own)
-    if (only := _constant(others, k)) is not None:
-        return mine.withColumn(f"p{k}", F.lit(only)).drop("input")
-    judged = _estimator(k, penalty).fit(others).transform(mine)
-    return judged.withColumn(f"p{k}", vector_to_array("probability")[1]).drop("input", "probability", "rawPrediction", "prediction")
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(f"p{k}", T.DoubleType())]))
 
 
 def probabilities(spark: SparkSession, chain: Chain, text: Column | str) -> Column:
@@ -214,12 +323,11 @@ def probabilities(spark: SparkSession, chain: Chain, text: Column | str) -> Colu
         for batch in batches:
             done = [np.zeros((0, len(c.labels)))]
             for first, end, d, o in slices(*buffer_of(batch)):
-                text, index, value = features(d, o, c.size)
-                value = scaled(text, index, value, c.rarity, end - first)
+                text, index, value = c.known(*features(d, o, len(c.place)), end - first)
                 p = np.zeros((end - first, len(c.labels)))
                 for k in range(len(c.labels)):
                     z = np.bincount(text, c.weights[k][index] * value, end - first) + c.intercepts[k] + p[:, :k] @ c.earlier[k]
-                    p[:, k] = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+                    p[:, k] = logistic(z)
                 done.append(p)
             all_p = np.concatenate(done)
             yield pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(all_p[:, k])) for k in range(len(fields))], fields=fields)

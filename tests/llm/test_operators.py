@@ -10,6 +10,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from panelspark.llm import brown, components, decontaminate, exact, jaccard, langid, licenses, packing, repeats, simhash, tokencount, toxicity
 from panelspark.llm.queries import tokenizer_path
@@ -603,3 +604,48 @@ def test_kept_words_have_the_counts_of_all_languages(spark):
     # One word of each language is kept: pain (6 of 9, 4 of 14) and eau (0 of 9, 9 of 14).
     want = [[math.log((n + 0.5) / (t + 0.5 * 3)) for n, t in zip(ns, (9, 14))] for ns in ((6, 4), (0, 9))]
     assert np.allclose(sorted(logs.tolist()), sorted(want), atol=1e-5)
+
+
+def test_toxicity_chain_equals_brute_force(spark):
+    """The fitted chain against dense descents over the same rows, and every probability against the formula."""
+    rng = np.random.default_rng(5)
+    words = [f"{a}{b}" for a in "abcdef" for b in "ghij"]
+    texts, labels = [], []
+    for i in range(240):
+        picked = rng.choice(words, 12)
+        texts.append((i, " ".join(picked)))
+        bad = int(sum(w[0] in "ab" for w in picked) + rng.normal() > 4.5)
+        labels.append((i, bad, int(sum(w[1] == "g" for w in picked) + bad + rng.normal() > 4)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    chain = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, bad int, toxic int"), ["bad", "toxic"], size=1 << 12, penalty=1e-2)
+    got = {r.doc_id: r for r in toxicity.predict(docs, chain).collect()}
+    key = {r[0]: r[1] for r in docs.select("doc_id", F.xxhash64("doc_id")).collect()}
+    vocabulary = sorted({w for _, t in texts for w in t.split()})
+    counts = np.array([[t.split().count(w) for w in vocabulary] for _, t in texts])
+    x = np.log1p(counts) * np.log((len(texts) + 1) / (counts > 0).sum(axis=0))
+    x /= np.sqrt((x**2).sum(axis=1, keepdims=True))
+    fold = np.array([key[i] % 3 for i, _ in texts])
+
+    def fit(x, y):
+        w = np.zeros(x.shape[1] + 1)
+        x = np.c_[x, np.ones(len(x))]
+        for _ in range(60):  # Newton
+            p = 1 / (1 + np.exp(-x @ w))
+            ridge = np.append(np.full(len(w) - 1, 1e-2), 0)
+            w -= np.linalg.solve((x.T * (p * (1 - p))) @ x / len(x) + np.diag(ridge), x.T @ (p - y) / len(x) + ridge * w)
+        return w
+
+    def judge(x, w):
+        return 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
+
+    learnt, asked = x, x
+    for k, name in enumerate(["bad", "toxic"]):
+        y = np.array([row[k + 1] for row in labels], float)
+        want = judge(asked, fit(learnt, y))
+        found = np.array([got[i][f"{name}_probability"] for i, _ in texts])
+        assert np.abs(found - want).max() < 5e-3
+        unseen = np.zeros(len(y))
+        for f in range(3):
+            unseen[fold == f] = judge(learnt[fold == f], fit(learnt[fold != f], y[fold != f]))
+        assert chain.thresholds[k] == pytest.approx(toxicity.best_threshold(y, unseen), abs=2e-2)
+        learnt, asked = np.c_[learnt, unseen], np.c_[asked, want]
