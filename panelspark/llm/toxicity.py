@@ -29,8 +29,8 @@ from panelspark.llm.words import Hasher, buffer_of, code_points, find_words, mix
 U = np.uint64
 #: Letters of a word beginning.
 BEGINNING = 5
-#: Partitions of the training rows while they are fitted; their number is bounded by the sample.
-PARTS = 8
+#: Partitions of the training rows while they are fitted: few, as each sends a vector of all weights, and rows are bounded by the sample.
+PARTS = 3
 
 
 @functools.cache
