@@ -16,8 +16,8 @@ from panelspark.plans.star import Dimension, analysis_set, build_fact, conform
 from panelspark.sinks.writers import processed_path, write_csv
 from panelspark.sources.delimited import (
     read_any,
+    read_by_header,
     read_delimited,
-    read_each,
     read_headerless,
     read_tagged,
     sanitise_columns,
@@ -103,7 +103,7 @@ def transform(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFr
         year, share = raw.columns[:2]
         out["technologie"] = indicators.research_share(raw, year, share)
     if "elections" in paths:
-        votes = [elections.votes_by_candidate_columns(df) for df in read_each(spark, paths["elections"])]
+        votes = [elections.votes_by_candidate_columns(df) for df in read_by_header(spark, paths["elections"])]
         if "election_2017" in paths:
             raw = read_delimited(spark, paths["election_2017"])
             votes.append(

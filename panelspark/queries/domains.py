@@ -13,7 +13,7 @@ from panelspark.plans import elections, indicators
 from panelspark.queries.base import order_facts
 from panelspark.queries.registry import query
 from panelspark.sinks.writers import write_csv
-from panelspark.sources.delimited import read_delimited, read_each, read_headerless, read_tagged
+from panelspark.sources.delimited import read_by_header, read_delimited, read_headerless, read_tagged
 from panelspark.tables import settle, shared_dir, table
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -46,7 +46,7 @@ def domain_elections(spark, sf):
         if year == 1996:
             wide = wide.withColumn("Inscrits", F.lit(1))
         write_csv(wide, f"{folder}/presi{year}", sep=",")
-    columns = [elections.votes_by_candidate_columns(df) for df in read_each(spark, f"{folder}/presi*")]
+    columns = [elections.votes_by_candidate_columns(df) for df in read_by_header(spark, f"{folder}/presi*")]
 
     blocks = [(f"Nom{k}", f"Prénom{k}", f"Voix{k}") for k in range(len(SEGMENTS))]
     side = votes.filter("year = 1997").groupBy(F.col("unit").alias("Code")).pivot("candidate", SEGMENTS).agg(F.sum("n"))

@@ -11,6 +11,7 @@ from panelspark.queries.registry import query
 from panelspark.sinks.writers import append_table, create_table, processed_path, write_csv
 from panelspark.sources.delimited import (
     read_any,
+    read_by_header,
     read_delimited,
     read_headerless,
     read_tagged,
@@ -84,6 +85,35 @@ def src_tagged_union(spark, sf):
     )
 
 
+@query(
+    "src_many_headers",
+    """SELECT o_orderkey AS id, o_totalprice AS price,
+        CASE WHEN year(o_orderdate) >= 1994 THEN o_orderpriority END AS priority,
+        CASE WHEN year(o_orderdate) >= 1996 THEN o_custkey END AS customer,
+        strftime(o_orderdate, '%Y-%m') AS month, o_orderstatus AS status
+      FROM orders""",
+)
+def src_many_headers(spark, sf):
+    """An extract for each month and status, in three layouts over the years; three scans, however many files there are."""
+    folder = shared_dir(spark, "extracts")
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("priority"),
+        F.col("o_custkey").alias("customer"), F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.col("o_orderstatus").alias("status"),
+    )
+    layouts = {
+        "early": orders.filter("month < '1994'").drop("priority", "customer"),
+        "middle": orders.filter("month >= '1994' AND month < '1996'").select("priority", "id", "price", "month", "status"),
+        "late": orders.filter("month >= '1996'"),
+    }
+    for name, rows in layouts.items():
+        parts = rows.repartition("month", "status").write.partitionBy("month", "status")
+        parts.option("header", True).option("sep", ";").csv(f"{folder}/{name}")
+    return stack(read_by_header(spark, f"{folder}/*/month=*/status=*", sep=";", tag="path")).select(
+        F.col("id").try_cast("bigint").alias("id"), F.col("price").try_cast("double").alias("price"), "priority",
+        F.col("customer").try_cast("bigint").alias("customer"), F.regexp_extract("path", r"month=([0-9-]+)", 1).alias("month"), F.regexp_extract("path", r"status=(\w)", 1).alias("status"),
+    )
+
+
 @query(
     "src_sheets_by_name",
     """SELECT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS sheet, year(o_orderdate) AS year, count(*) AS n_orders

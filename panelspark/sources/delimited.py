@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,9 +76,12 @@ def read_tagged(
     found = matching_paths(spark, paths)
     if not found:
         raise FileNotFoundError(f"none of these paths exists: {list(paths)}")
-    # The path arrives percent-encoded; a plus sign in it is a plus sign.
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return read_delimited(spark, found, schema, sep, header).withColumn(tag, path)
+    return read_delimited(spark, found, schema, sep, header).withColumn(tag, file_path())
+
+
+def file_path() -> Column:
+    """The file of a row.  The path arrives percent-encoded; a plus sign in it is a plus sign."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
 def read_each(spark: SparkSession, pattern: str, sep: str = ",", tag: str = "source_file") -> list[DataFrame]:
@@ -88,6 +92,52 @@ def read_each(spark: SparkSession, pattern: str, sep: str = ",", tag: str = "sou
     return [read_delimited(spark, path, sep=sep).withColumn(tag, F.lit(path)) for path in found]
 
 
+def data_files(spark: SparkSession, pattern: str) -> list[str]:
+    """The files that a glob matches, or that lie in a folder which it matches; hidden ones and markers are left out."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for name in matching_paths(spark, [pattern]):
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        inside = path.getFileSystem(conf).listStatus(path)
+        found += sorted(str(s.getPath().toString()) for s in inside if s.isFile() and str(s.getPath().getName())[0] not in "._")
+    return found
+
+
+def first_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str | None:
+    """The first line of a file, compressed ones included; no more than its first buffer is read.  None if the file is empty."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    name = jvm.org.apache.hadoop.fs.Path(path)
+    stream = name.getFileSystem(conf).open(name)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(name)
+        data = stream if codec is None else codec.createInputStream(stream)
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(data, encoding)).readLine()
+    finally:
+        stream.close()
+    return None if line is None else str(line).lstrip("\ufeff").rstrip()
+
+
+def read_by_header(spark: SparkSession, pattern: str, sep: str = ",", tag: str = "source_file", encoding: str = "UTF-8") -> list[DataFrame]:
+    """One DataFrame, and one scan, for each distinct header of the files; all columns are text, rows are tagged with their file.
+
+    Only first lines are read to tell the headers, several files at a time.  A header may not hold a line break inside quotes.
+    Files that are empty have no header and are left out; files with nothing but a header give no rows.  Headers come in the order of
+    their first files.
+    """
+    files = data_files(spark, pattern)
+    if not files:
+        raise FileNotFoundError(f"no file matches {pattern}")
+    with ThreadPoolExecutor(16) as pool:
+        lines = list(pool.map(lambda path: first_line(spark, path, encoding), files))
+    groups: dict[str, list[str]] = {}
+    for line, path in zip(lines, files):
+        if line is not None:
+            groups.setdefault(line, []).append(path)
+    return [read_delimited(spark, paths, sep=sep, encoding=encoding).withColumn(tag, file_path()) for paths in groups.values()]
+
+
 def read_headerless(
     spark: SparkSession, path: str | Sequence[str], names: Sequence[str], is_data: Column, sep: str = ";"
 ) -> DataFrame:

@@ -1,3 +1,5 @@
+import gzip
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -44,6 +46,31 @@ def test_read_each_keeps_codes_as_text(spark, tmp_path):
     assert [df.first()["Code"] for df in frames] == ["01", "2A"]
 
 
+def test_files_of_one_header_share_a_scan(spark, tmp_path, rows):
+    layouts = ["Code;é (A)", "é (A);Code", "Code;é (A);Z"]
+    want = set()
+    for i in range(30):
+        code = f"{i:02d}"
+        fields = [[code, "a"], ["a", code], [code, "a", "z"]][i % 3]
+        write(tmp_path / f"x{i:02d}+é.csv", ("\ufeff" if i == 4 else "") + layouts[i % 3] + ("\r\n" if i == 7 else "\n") + ";".join(fields) + "\n")
+        want.add((code, "a", "z" if i % 3 == 2 else None, f"x{i:02d}+é.csv"))
+    write(tmp_path / "x90.csv", "")
+    write(tmp_path / "x91.csv", layouts[0] + "\n")
+    with gzip.open(tmp_path / "x92.csv.gz", "wt", encoding="utf-8") as out:
+        out.write(layouts[1] + "\na;92\n")
+    want.add(("92", "a", None, "x92.csv.gz"))
+    (tmp_path / "_SUCCESS").write_text("")
+    frames = delimited.read_by_header(spark, str(tmp_path / "*"), sep=";")
+    assert [sorted(df.columns[:-1]) for df in frames] == [["Code", "é (A)"], ["Code", "é (A)"], ["Code", "Z", "é (A)"]]
+    df = delimited.stack(frames)
+    got = df.select("Code", "é (A)", "Z", F.regexp_extract("source_file", "([^/]+)$", 1).alias("file")).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 3
+    with pytest.raises(FileNotFoundError):
+        delimited.read_by_header(spark, str(tmp_path / "gone*"))
+
+
 def test_headerless_drops_repeated_headers(spark, tmp_path, rows):
     path = write(tmp_path / "p.csv", "code;n\n01;5\ncode;n\n2A;6\n")
     df = delimited.read_headerless(spark, path, ["c", "n"], F.col("c").rlike("^(2A|[0-9]+)$"))
