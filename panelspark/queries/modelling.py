@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from panelspark.functions.text import panel_key_year
 from panelspark.ml import evaluate, knn, noise, predict, scale, split, vote
 from panelspark.operators.rank import distribution, majority
+from panelspark.plans.etl import append_results
+from panelspark.plans.schemas import MODEL_RESULTS
 from panelspark.queries.base import big
 from panelspark.queries.panels import FACT, INDICATORS, analysis_sets
 from panelspark.queries.registry import query
-from panelspark.tables import settle, settle_all, table
+from panelspark.sources.delimited import stack
+from panelspark.tables import settle, settle_all, shared_dir, table
 
 LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount"]
 PANEL_FEATURES = INDICATORS
@@ -185,6 +188,41 @@ def ml_vote(spark, sf):
     return _three_models(spark, sf)[2]
 
 
+@query(
+    "ml_results_stored",
+    f"""{_VECTORS}, m AS (SELECT 'KNN' AS model_name, * FROM p1 UNION ALL SELECT 'Weighted KNN', * FROM p2 UNION ALL SELECT 'Vote', * FROM pv),
+      s AS (SELECT model_name, sum((actual = prediction)::INT) AS hits, count(*) AS n_rows FROM m GROUP BY 1),
+      w AS (SELECT model_name, prediction, count(*) AS n FROM m GROUP BY 1, 2
+        QUALIFY row_number() OVER (PARTITION BY model_name ORDER BY count(*) DESC, prediction) = 1),
+      r AS (SELECT * FROM (VALUES ('2024-01-01', 'KNN'), ('2024-01-01', 'Weighted KNN'), ('2024-02-01', 'KNN'), ('2024-02-01', 'Vote')) v(run_date, model_name))
+    SELECT run_date, model_name, round(hits / n_rows, 6) AS accuracy, prediction AS winner_id, concat('label ', prediction) AS winner_name,
+      round(n * 100.0 / n_rows, 4) AS winner_pct FROM r JOIN s USING (model_name) JOIN w USING (model_name)""",
+)
+def ml_results_stored(spark, sf):
+    """The rows of two runs are appended to one stored table of results, which is read back: a later run leaves the earlier one's rows."""
+    named = zip(["KNN", "Weighted KNN", "Vote"], _three_models(spark, sf))
+    predicted = settle(stack([p.withColumn("model_name", F.lit(name)) for name, p in named]), "named-predictions")
+    scored = predicted.groupBy("model_name").agg((F.count_if(F.col("actual") == F.col("prediction")) / F.count(F.lit(1))).alias("accuracy"))
+    won = majority(predicted, "prediction", ["model_name"]).withColumnsRenamed({"prediction": "winner_id", "pct": "winner_pct"})
+    rows = settle(scored.join(won, "model_name").drop("n", "n_rows"), "model-scores")
+    path = shared_dir(spark, "model-results")
+    for day, models in {"2024-01-01": ["KNN", "Weighted KNN"], "2024-02-01": ["KNN", "Vote"]}.items():
+        run = rows.filter(F.col("model_name").isin(models)).withColumns(
+            {
+                "run_timestamp": F.lit(day).cast("timestamp"),
+                "description": F.lit("neighbours of embeddings"),
+                "cv_mean": F.lit(None).cast("double"),
+                "cv_std": F.lit(None).cast("double"),
+                "winner_name": F.concat(F.lit("label "), F.col("winner_id").cast("string")),
+            }
+        )
+        append_results(run, path)
+    return spark.read.schema(MODEL_RESULTS).parquet(path).select(
+        F.date_format("run_timestamp", "yyyy-MM-dd").alias("run_date"), "model_name", F.round("accuracy", 6).alias("accuracy"),
+        "winner_id", "winner_name", "winner_pct",
+    )
+
+
 @query(
     "ml_confusion",
     f"{_VECTORS} SELECT actual AS label, prediction, count(*) AS n FROM p1 GROUP BY 1, 2",
