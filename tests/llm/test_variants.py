@@ -342,19 +342,45 @@ def test_jaccard_of_awkward_rows(spark, block_bytes):
     assert jaccard.jaccard_groups(frame(spark, rows).limit(0)).count() == 0
 
 
-def test_links_at_the_border_meet():
-    """Pairs that are linked by exactly what is needed share a cell, at every size up to 400."""
+@pytest.mark.parametrize("percent", [80, 90])
+def test_links_at_the_border_meet(percent):
+    """Pairs that are linked by exactly what is needed share a cell, at every size up to 400, as do pairs of equal sizes."""
     rng = np.random.default_rng(5)
+
+    def meet(x, y):
+        keys, bounds = jaccard.cell_keys(np.concatenate([np.sort(x), np.sort(y)]), np.array([0, len(x), len(x) + len(y)]), percent)
+        return bool(set(keys[: bounds[1]].tolist()) & set(keys[bounds[1] :].tolist()))
+
     for size in range(2, 400):
-        hashes = np.sort(rng.integers(0, 1 << 63, size + 60).astype(np.uint64))
-        for dropped in range(size // 9 + 1):
-            # The smaller set is a part of the larger one: 100 * (size - dropped) >= 90 * size is the border.
-            if 100 * (size - dropped) < 90 * size or dropped == 0:
-                continue
-            large = np.sort(rng.permutation(hashes)[:size])
-            small = np.sort(rng.permutation(large)[: size - dropped])
-            keys, bounds = jaccard.cell_keys(np.concatenate([large, small]), np.array([0, size, 2 * size - dropped]), 90)
-            assert set(keys[: bounds[1]].tolist()) & set(keys[bounds[1] :].tolist())
+        hashes = rng.permutation(rng.integers(0, 1 << 63, 2 * size).astype(np.uint64))
+        large = hashes[:size]
+        # The smaller set is a part of the larger one.
+        for dropped in range(1, size * (100 - percent) // 100 + 1):
+            assert meet(large, rng.permutation(large)[: size - dropped])
+        # As many elements of each that the other lacks.
+        for other in range(1, size * (100 - percent) // (100 + percent) + 1):
+            assert meet(large, np.concatenate([large[other:], hashes[size : size + other]]))
+
+
+def test_repeated_keys_of_packs(spark, monkeypatch):
+    """Keys of several nodes are found at any size of buckets and packs; nodes without keys are in no cell."""
+    rng = random.Random(4)
+    keys = {k: sorted({rng.getrandbits(64) for _ in range(30)}) for k in range(40)}
+    shared = [rng.getrandbits(64) for _ in range(8)]
+    for k in range(0, 40, 3):
+        keys[k] = keys[k] + rng.sample(shared, 3)
+    rows = [(k, bytearray(jaccard._pack(np.array(v, np.uint64)))) for k, v in keys.items()] + [(50, bytearray()), (51, None)]
+    want = {}
+    for k, v in keys.items():
+        for x in v:
+            want.setdefault(x >> 16, set()).add(k)
+    want = {(x, min(v), k) for x, v in want.items() if len(v) > 1 for k in v}
+    nodes = spark.createDataFrame(rows, "node long, keys binary").repartition(3)
+    for bucket_keys, packed in ((1 << 18, 1 << 21), (1, 50)):
+        monkeypatch.setattr(jaccard, "PACKED", packed)
+        got = jaccard._members(nodes, bucket_keys)
+        assert {(r.key, r.hub, r.node) for r in got.collect()} == want and want
+    assert jaccard._members(nodes.limit(0)).count() == 0
 
 
 def test_tree_finds_what_all_pairs_find():
