@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,3 +107,34 @@ def test_importances(spark):
     none = forest.grow(forest.binned(one, 3), 2, 3, 2, grid)
     assert {r.importance for r in forest.importances(none, 2, Cell(6, 3, 4), 3).collect()} == {0.0}
     assert {r.predicted for r in forest.judged(none, 2, grid).collect()} == {0}
+
+
+def test_digests_are_those_of_spark(spark):
+    df = spark.createDataFrame([(k, k * 7 - 3, k * 0x123456789AB - 5) for k in range(50)], "a int, b int, c long")
+    given = df.withColumn("h", F.xxhash64("a", "b", "c", F.lit(2))).collect()
+    a, b, c = (np.array([r[k] for r in given], kind) for k, kind in enumerate((np.int32, np.int32, np.int64)))
+    assert forest._digest(a, b, c, 2).tolist() == [r.h for r in given]
+
+
+def test_a_tree_is_the_same_whether_tasks_or_levels_grow_it(spark, monkeypatch):
+    """Nodes of over 20 points are split by aggregates, those below them in a task; rows of common points draw their weights in several tasks."""
+    _, df = rows_of(spark, 150, 4)
+    binned = forest.binned(df, 4)
+    grid = {"trees": (2, 4), "depth": (0, 3), "split": (2, 9)}
+    columns = ["forest", "tree", "node", "rows", "n", "gain", "level"]
+    found = []
+    for local, drawn in ((1 << 16, 1 << 14), (20, 1)):
+        monkeypatch.setattr(forest, "LOCAL", local)
+        monkeypatch.setattr(forest, "DRAWN_ROWS", drawn)
+        grown = forest.grow(binned, 2, 4, 3, grid)
+        found.append((table(grown.nodes.select(*columns)), table(forest.judged(grown, 3, grid)), table(forest.scores(grown, 2, 3, grid))))
+    assert found[0] == found[1] and len(found[0][1]) == 8 * 150
+
+
+def test_growth_holds_points_not_rows(spark):
+    """Thrice the rows with the same bins are as many points: work in the trees does not grow with the rows."""
+    _, df = rows_of(spark, 100, 2)
+    more = df.unionByName(df.withColumn("key", F.col("key") + 1000)).unionByName(df.withColumn("key", F.col("key") + 2000))
+    grid = {"trees": (1,), "depth": (0,), "split": (2,)}
+    points = [forest.grow(forest.binned(rows, 2), 2, 2, 3, grid).asked.select("p").distinct().count() for rows in (df, more)]
+    assert points[0] == points[1] < 100
