@@ -96,6 +96,8 @@ def cell_keys(hashes: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.
         differ = most_different(2 * _BANDS.last[np.minimum(band, len(_BANDS.last) - 1)], percent)
         # Where nothing may differ only equal sets are linked, and these are one node.
         some = texts[(band <= final) & (n > 0) & (differ > 0)]
+        if not len(some):
+            continue
         spare = np.maximum(1, differ[some] * SPARE // 100)
         parts = differ[some] + 1 + spare
         start = np.cumsum(parts) - parts
@@ -123,16 +125,25 @@ def cell_keys(hashes: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.
     return keys[order], np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=len(n)))]).astype(np.int64)
 
 
-def counts_of(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """The points: for each text the counts of its groups, 8 bits each.
+#: What a byte of a point stands for: counts as they are up to 191, then steps of 29 % up to more than a set can hold, rounded up.
+_COUNTS = np.concatenate([np.arange(192), np.ceil(192 * 1.29 ** np.arange(64))]).astype(np.int64)
 
-    A text with more than 255 shingles in a group, one of over about 25,000 words, is a point that no bound leaves out.
-    """
+
+def _coded(counts: np.ndarray) -> np.ndarray:
+    """Counts as bytes; none stands for less than its count, so no bound on what two sets share is too low."""
+    return np.searchsorted(_COUNTS, counts).astype(np.uint8)
+
+
+def _counted(points: np.ndarray) -> np.ndarray:
+    """The counts that the bytes of points stand for; points of small counts are these themselves."""
+    return points if points.max(initial=0) < 192 else _COUNTS[points]
+
+
+def counts_of(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The points: for each text the counts of its groups, a byte each (:func:`_coded`)."""
     n = np.diff(bounds)
     slot = np.repeat(np.arange(len(n)) * GROUPS, n) + (mix(hashes) & U(GROUPS - 1)).astype(np.int64)
-    counts = np.bincount(slot, minlength=len(n) * GROUPS).reshape(len(n), GROUPS)
-    counts[counts.max(axis=1, initial=0) > 255] = 255
-    return counts.astype(np.uint8)
+    return _coded(np.bincount(slot, minlength=len(n) * GROUPS).reshape(len(n), GROUPS))
 
 
 def _digests(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -253,10 +264,10 @@ def fitting(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
             need = -(-percent * (n_a.to_numpy() + n_b.to_numpy()) // (100 + percent))
             shared = np.zeros(len(need), np.int64)
             for k in range(len(need)):
-                x, y = (np.frombuffer(c[k].as_buffer(), np.uint8) for c in (of_a, of_b))
+                x, y = (_counted(np.frombuffer(c[k].as_buffer(), np.uint8)) for c in (of_a, of_b))
                 if len(x) != len(y):
                     groups = min(len(x), len(y))
-                    x, y = (p.reshape(-1, groups).sum(axis=0, dtype=np.uint32) for p in (x, y))
+                    x, y = (p.reshape(-1, groups).sum(axis=0, dtype=np.int64) for p in (x, y))
                 shared[k] = np.minimum(x, y).sum(dtype=np.int64)
             kept = pa.array(shared >= need)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept)], names=["a", "b"])
@@ -277,7 +288,7 @@ def fine_points(sets: DataFrame) -> DataFrame:
                 h = batch.column(1)[k].values.to_numpy().view(U)
                 groups = max(GROUPS, 1 << (len(h) - 1).bit_length())
                 counts = np.bincount((mix(h) & U(groups - 1)).astype(np.int64), minlength=groups)
-                points.append((counts if counts.max() <= 255 else np.full(groups, 255)).astype(np.uint8).tobytes())
+                points.append(_coded(counts).tobytes())
                 sizes.append(len(h))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(points, pa.binary())], names=["node", "n", "point"])
 
@@ -382,7 +393,7 @@ def searched(rows: DataFrame, percent: int, block_bytes: int = BLOCK_BYTES) -> D
     def met(cells: list[tuple]) -> Iterator[pa.RecordBatch]:
         key = cells[0][1]
         node, n, label = (np.array([r[k] for r in cells], np.int64) for k in (2, 3, 4))
-        tree = Tree(np.stack([np.frombuffer(r[5], np.uint8) for r in cells]), n, label, percent)
+        tree = Tree(_counted(np.stack([np.frombuffer(r[5], np.uint8) for r in cells])), n, label, percent)
         listed: dict[int, frozenset] = {}
 
         def first(a: int, b: int) -> bool:

@@ -402,3 +402,19 @@ def test_jaccard_join(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{ROOT}/documents.parquet").collect()]
     got = queries.op13_jaccard_join(spark, ROOT)
     assert sorted((tuple(r) for r in got.select("doc_id", "n_shingles", "component_id").collect()), key=repr) == linked_sets(docs)
+
+
+def test_jaccard_of_very_long_texts(spark):
+    """Sets of 40,000 shingles, over 255 to a group, and a family of them that a tree over their cell is cut for: none of the bounds is too low."""
+    rng = np.random.default_rng(8)
+    words = [f"w{k}" for k in rng.permutation(40_000)]
+    rows = [(k, " ".join(words[: 17_000 + 700 * k] + [f"only{k}"] + words[17_000 + 700 * k :])) for k in range(3)]
+    rows += [(7, " ".join(reversed(words))), (8, "a short text")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_groups(frame(spark, rows)).collect()}
+    assert got == {0: (39_999, 0), 1: (39_999, 0), 2: (39_999, 0), 7: (39_998, 7), 8: (1, 8)}
+    sets = [np.sort(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (100, 33_000, 60_000, 900_000)]
+    points = jaccard.counts_of(np.concatenate(sets), np.cumsum([0] + [len(x) for x in sets]))
+    whole = jaccard._counted(points).sum(axis=1)
+    assert all(len(x) <= w <= 1.3 * len(x) for x, w in zip(sets, whole)) and whole[0] == 100
+    twins, sizes = np.repeat(jaccard._counted(points[2:3]), 50, axis=0), np.full(50, 60_000)
+    assert sum(len(i) for i, _ in jaccard.Tree(twins, sizes, np.arange(50), 90).pairs()) == 50 * 49 // 2
