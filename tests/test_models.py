@@ -212,3 +212,32 @@ def test_strong_parameters_train(spark, data):
     compared = pipeline.compare_models(prepared, ["MLP (Neural Net)"], parameters={"MLP (Neural Net)": perceptron})
     (row,) = compared.results.collect()
     assert 0 <= row.accuracy <= 1 and row.winner_id in (2, 4, 7)
+
+
+@pytest.mark.parametrize("metric", ["manhattan", "euclidean"])
+def test_a_task_holds_no_matrix_of_a_whole_block_and_finds_the_same(metric):
+    """Single precision only leaves pairs out: ties, close and far points, columns of one value, and values that it cannot hold."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    grid = rng.integers(0, 3, (300, 3)).astype(float)
+    cases = [(rng.normal(size=(n, d)) * size + shift, rng.normal(size=(m, d)) * size + shift)
+             for n, m, d, size, shift in ((90, 700, 64, 0.1, 0.0), (90, 700, 20, 1e-7, 1e3), (50, 60, 3, 1e200, 0.0), (9, 2, 2, 1.0, 0.0))]
+    for a, b in [*cases, (grid[:100], grid[100:]), (np.ones((20, 2)), np.ones((30, 2)))]:
+        gap = a[:, None, :] - b[None, :, :]
+        with np.errstate(over="ignore"):
+            d = np.abs(gap).sum(axis=2) if metric == "manhattan" else np.sqrt((gap * gap).sum(axis=2))
+            for k in (1, 3):
+                best = np.argsort(d, axis=1, kind="stable")[:, :k]
+                found = np.take_along_axis(d, best, axis=1)
+                for limit in (np.full(len(a), np.inf), found[:, -1]):
+                    i, j, distance = knn._nearest(a, b, k, metric, limit)
+                    assert i.tolist() == np.repeat(np.arange(len(a)), best.shape[1]).tolist()
+                    assert j.tolist() == best.ravel().tolist() and distance.tolist() == found.ravel().tolist()
+    a, b = rng.normal(size=(8192, 4)), rng.normal(size=(4096, 4))
+    tracemalloc.start()
+    knn._nearest(a, b, 2, metric, np.full(len(a), np.inf))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # The matrix of distances alone would be 268 MB.
+    assert peak < 20e6
