@@ -1,7 +1,7 @@
 """Exact k-nearest neighbours as a partitioned join.
 
-Training rows are assigned to the nearest of about sqrt(n) pivots, or of fewer, so that a cell has a block of rows: queries are copied to each
-cell that they visit.  A first pass compares every query row with its nearest
+Training rows are assigned to the nearest of about sqrt(n) pivots, or of fewer, so that a cell of long vectors has a block of rows: queries are
+copied to each cell that they visit.  A first pass compares every query row with its nearest
 cells only, just enough of them to hold k rows; its k-th distance there bounds how far any neighbour can be.  A second
 pass visits the other cells that may hold a nearer row (triangle inequality).  Cells and queries are cut into blocks of
 bounded size; one task compares one block of queries with one block of training rows and emits the k best per query, which
@@ -34,8 +34,8 @@ BLOCK_ROWS, CHUNK = 4096, 4
 _SLAB = 1 << 16
 #: From this many columns on, products of matrices are faster than differences.
 _PRODUCTS = 12
-#: Cells are made smaller than a block until there are so many of them.
-PIVOTS = 32
+#: Rows of a cell at least, for each column; cells are made smaller until there are so many of them.
+CELL_ROWS, PIVOTS = 64, 32
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -228,9 +228,11 @@ def neighbours(
     rows = train.select(F.col(key).alias("neighbour"), F.col(label).alias("label"), F.col(vector).alias("v"))
     sought = queries.select(F.col(key).alias("key"), F.col(vector).alias("q"))
 
-    # The pivots are training rows, spread by hash; their number grows with the square root of the rows, while cells have fewer than a block.
-    n = rows.count()
-    wanted = max(1, min(math.isqrt(n), max(n // BLOCK_ROWS, PIVOTS)))
+    # The pivots are training rows, spread by hash; their number grows with the square root of the rows at most.
+    # Copies of short vectors cost little, so their cells are smaller.
+    shape = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("columns")).first()
+    cell_rows = min(BLOCK_ROWS, CELL_ROWS * (shape.columns or 1))
+    wanted = max(1, min(math.isqrt(shape.n), max(shape.n // cell_rows, PIVOTS)))
     picked = rows.select("v", "neighbour").orderBy(F.xxhash64("neighbour"), "neighbour").limit(wanted).collect()
     if not picked:
         raise ValueError("there are no training rows")
