@@ -47,7 +47,7 @@ SPARE = 60
 #: Bytes of a packed key: texts that meet by chance are found unlike.
 KEY_BYTES = 6
 #: Keys packed at a time, and keys of a bucket in which repeated ones are looked for.
-PACKED, BUCKET_KEYS = 1 << 21, 1 << 18
+PACKED, BUCKET_KEYS = 1 << 19, 1 << 18
 #: Points of a leaf, and bytes of counts of one block of a cell.
 LEAF, BLOCK_BYTES = 32, 8 << 20
 #: Groups of a point: a row of a cell has a bound that does not depend on the length of its text.

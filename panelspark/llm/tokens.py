@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 from tokenizers import Tokenizer
 
-from panelspark.llm.words import SPACE, find_words, ragged
+from panelspark.llm.words import SPACE, find_words, lookup, ragged
 
 #: Words remembered by a worker.  When there are more it forgets those that came only once since it last did, and half at least.
 REMEMBERED = 1 << 18
@@ -33,19 +34,28 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self._slot: dict[int, int] = {}
+        # Hashes of the words known, sorted; the other arrays go by the same order.  A dict of them would take several times their memory.
+        self._slot = np.zeros(0, np.uint64)
         self._ids = np.zeros(0, np.uint32)
-        self._first, self._count, self._seen = (np.zeros(0, np.int64) for _ in range(3))
+        self._first, self._count, self._seen = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def _make_room(self) -> None:
         kept = np.flatnonzero(self._seen > 1)
         if len(kept) > REMEMBERED // 2:
             kept = np.sort(np.argsort(-self._seen, kind="stable")[: REMEMBERED // 2])
-        keys = np.fromiter(self._slot, np.uint64, len(self._slot))[kept]  # slots are given in order
         count = self._count[kept]
-        ids = self._ids[ragged(self._first[kept], count)]
-        self._slot = {k: i for i, k in enumerate(keys.tolist())}
-        self._ids, self._count, self._first, self._seen = ids, count, np.cumsum(count) - count, np.zeros(len(kept), np.int64)
+        self._ids = self._ids[ragged(self._first[kept], count)]
+        self._slot, self._count, self._seen = self._slot[kept], count, np.zeros(len(kept), np.int32)
+        self._first = np.cumsum(count, dtype=np.int64) - count
+
+    def _learn(self, keys: np.ndarray, words: list[list[int]]) -> None:
+        """Adds words that are not known yet, by their sorted hashes."""
+        count = np.fromiter(map(len, words), np.int32, len(words))
+        first = len(self._ids) + np.cumsum(count, dtype=np.int64) - count
+        at = np.searchsorted(self._slot, keys)
+        self._slot, self._first = np.insert(self._slot, at, keys), np.insert(self._first, at, first)
+        self._count, self._seen = np.insert(self._count, at, count), np.insert(self._seen, at, 0)
+        self._ids = np.concatenate([self._ids, np.fromiter(chain.from_iterable(words), np.uint32, int(count.sum()))])
 
     def _encode(self, word: str) -> list[int]:
         # Plain Latin words need no normaliser but lower case; the model alone gives the same ids, several times faster.
@@ -63,21 +73,12 @@ class WordEncoder:
         keys, at, of = np.unique(words.hashes(), return_index=True, return_inverse=True)
         if len(self._slot) > REMEMBERED:
             self._make_room()
-        known, new_ids, new_counts = self._slot, [], []
-        slots = [known.get(k, -1) for k in keys.tolist()]
-        missing = [i for i, slot in enumerate(slots) if slot < 0]
-        raw, first = data.tobytes(), at[missing] if missing else at[:0]
-        for i, key, a, b in zip(missing, keys[missing].tolist(), words.start[first].tolist(), words.end[first].tolist()):
-            ids = self._encode(raw[a:b].decode("utf-8", "replace"))
-            slots[i] = known[key] = len(known)
-            new_ids += ids
-            new_counts.append(len(ids))
-        if missing:
-            self._ids = np.concatenate([self._ids, np.array(new_ids, np.uint32)])
-            self._count = np.concatenate([self._count, np.array(new_counts, np.int64)])
-            self._first = np.cumsum(self._count) - self._count
-            self._seen = np.concatenate([self._seen, np.zeros(len(missing), np.int64)])
-        slot = np.array(slots, np.int64)
+        missing = np.flatnonzero(lookup(self._slot, keys) < 0)
+        if len(missing):
+            raw, first = data.tobytes(), at[missing]
+            spans = zip(words.start[first].tolist(), words.end[first].tolist())
+            self._learn(keys[missing], [self._encode(raw[a:b].decode("utf-8", "replace")) for a, b in spans])
+        slot = lookup(self._slot, keys)
         self._seen[slot] += 1
         slot = slot[of]
         counts = self._count[slot]

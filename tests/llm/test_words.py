@@ -1,6 +1,7 @@
 """The numpy kernels against plain Python."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -109,3 +110,31 @@ def test_an_encoder_that_forgets_gives_the_same_ids(monkeypatch):
     assert len(small._slot) < 300 and small.encode(*run_of([None, ""]))[0].tolist() == []
     assert np.concatenate([p[0] for p in parts]).tolist() == whole[0].tolist()
     assert np.concatenate([p[1] for p in parts]).tolist() == whole[1].tolist()
+
+
+def test_a_worker_that_encodes_stays_small():
+    pytest.importorskip("tokenizers")
+    from panelspark.llm.queries import tokenizer_path
+    from panelspark.llm.tokens import WordEncoder
+
+    rng = random.Random(5)
+    data, offsets = run_of([" ".join("".join(rng.choices("aeinrst", k=7)) for _ in range(1000)) for _ in range(150)])
+    encoder = WordEncoder(tokenizer_path())
+    tracemalloc.start()
+    try:
+        for _, _, d, o in w.slices(data, offsets):
+            encoder.encode(d, o)
+        held, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    # Some 140,000 words are known then.
+    assert len(encoder._slot) > 100_000
+    assert held < 12 << 20 and peak < 36 << 20, (held, peak)
+
+
+def test_a_tally_of_few_keys_stays_small():
+    tally, keys = w.Tally(), np.arange(1000, dtype=np.uint64)
+    for _ in range(200):
+        tally.add(keys.copy(), np.ones(1000, np.int64))
+        assert sum(len(k) for k, _ in tally._parts) <= 1 << 16
+    assert tally.total()[1].tolist() == [200] * 1000
