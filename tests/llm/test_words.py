@@ -132,6 +132,93 @@ def test_a_worker_that_encodes_stays_small():
     assert held < 12 << 20 and peak < 36 << 20, (held, peak)
 
 
+def test_pieces_are_encoded_once_whatever_case_and_signs_they_come_with():
+    pytest.importorskip("tokenizers")
+    from panelspark.llm.queries import tokenizer_path
+    from panelspark.llm.tokens import WordEncoder
+
+    class Counted:
+        def __init__(self, model):
+            self.model, self.calls = model, []
+
+        def tokenize(self, text):
+            self.calls.append(text)
+            return self.model.tokenize(text)
+
+    encoder = WordEncoder(tokenizer_path())
+    encoder._model = Counted(encoder._model)
+    words = [f"{a}{b}{c}" for a in ("", "(", "[") for b in ("garden", "Garden", "GARDEN", "über", "Über") for c in ("", ",", ".", "!?", ")")]
+    values = [" ".join(words), "Garden-über 1 11 111"]
+    ids, sizes = encoder.encode(*run_of(values))
+    plain = encoder._tokenizer
+    assert ids.tolist() == [i for t in values for i in plain.encode(t, add_special_tokens=False).ids]
+    assert len(sizes) == 2
+    # garden, über, seven kinds of signs and a digit; taken out of each whole word, they would be 194.
+    assert len(encoder._model.calls) == len(set(encoder._model.calls)) == 10
+
+
+_PARTS = st.sampled_from(
+    ["a", "Z", "word", "Ünï", "ÿ", "ß", "×", "÷", "É", "E\u0301", "\u0301", "1", "22", "'", "'s", "'LL", "<", "<|endoftext|>", "<|ENDOFTEXT|>", "_", "-", "…", "²", "½"]
+    + ["٣", "ª", "数", "İ", "ſ", "\x00", "\x1c", "\x7f", "\x85", "\xa0", "\u200b", " ", " ", " ", "\t", "\n", "\r\n"]
+)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.lists(_PARTS, max_size=12).map("".join), st.text(max_size=30)), max_size=6), st.booleans())
+def test_token_ids_of_any_texts_are_the_tokenizers(values, literal):
+    tokenizers = pytest.importorskip("tokenizers")
+    from panelspark.llm.queries import tokenizer_path
+    from panelspark.llm.tokens import word_encoder
+
+    plain = tokenizers.Tokenizer.from_file(tokenizer_path())
+    plain.encode_special_tokens = literal
+    ids, sizes = word_encoder(tokenizer_path(), literal).encode(*run_of(values))
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in values]
+    assert sizes.tolist() == [len(x) for x in want]
+    assert ids.tolist() == [i for x in want for i in x]
+
+
+def test_bytes_that_are_no_text_are_encoded_as_their_replacement():
+    tokenizers = pytest.importorskip("tokenizers")
+    from panelspark.llm.queries import tokenizer_path
+    from panelspark.llm.tokens import WordEncoder
+
+    values = [b"ab\xc3", b"\xa9cd \xc3d", b"\xa9 \xc3\xc3\xa9", b"", b"\xc3", b"\xff\xfe x"]
+    data = np.frombuffer(b"".join(values), np.uint8)
+    ids, sizes = WordEncoder(tokenizer_path()).encode(data, np.concatenate([[0], np.cumsum([len(v) for v in values])]))
+    plain = tokenizers.Tokenizer.from_file(tokenizer_path())
+    want = [plain.encode(v.decode("utf-8", "replace"), add_special_tokens=False).ids for v in values]
+    assert sizes.tolist() == [len(x) for x in want]
+    assert ids.tolist() == [i for x in want for i in x]
+
+
+def test_pieces_that_come_again_are_remembered_and_the_table_keeps_its_size(monkeypatch):
+    pytest.importorskip("tokenizers")
+    from panelspark.llm import tokens
+    from panelspark.llm.queries import tokenizer_path
+
+    monkeypatch.setattr(tokens, "REMEMBERED", 256)
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 2000)
+    rng = random.Random(6)
+    encoder, whole = tokens.WordEncoder(tokenizer_path()), tokens.WordEncoder(tokenizer_path())
+    often, missed, encode = ["house", "river", "stone", "bread"], [], encoder._encode
+
+    def counted(pieces, odd):
+        missed.extend(pieces.data[a:b].tobytes().decode() for a, b in zip(pieces.start, pieces.end))
+        return encode(pieces, odd)
+
+    encoder._encode = counted
+    for k in range(120):
+        rare = ["".join(rng.choices("aeinrst", k=9)) for _ in range(60)] + (["數" * 3000, "x" * 900] if k % 10 == 0 else [])
+        text = " ".join(often + rare)
+        got, want = encoder.encode(*run_of([text])), whole._tokenizer.encode(text, add_special_tokens=False).ids
+        assert got[0].tolist() == want and got[1].tolist() == [len(want)]
+        assert len(encoder._slot) == len(encoder._first) == 256
+        assert len(encoder._ids) < 20_000
+    # Rare ones come every time; were the frequent ones not kept, they would be missed 480 times.
+    assert sum(w in often for w in missed) < 100
+
+
 def test_a_tally_of_few_keys_stays_small():
     tally, keys = w.Tally(), np.arange(1000, dtype=np.uint64)
     for _ in range(200):
