@@ -297,15 +297,16 @@ def fine_points(sets: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, text_col: str, shingle: int, percent: int, bounded: bool = False) -> DataFrame:
     """Those of the settled, distinct ``pairs`` (a, b) that are linked: bounded by short points (unless they are ``bounded``), then by long ones, then compared."""
-    pairs = pairs if bounded else settle(fitting(pairs, nodes.select("node", "n", "point"), percent), "jaccard-fitting")
-    ends = settle(pairs.select(F.explode(F.array("a", "b")).alias("_node")).distinct(), "jaccard-ends")
+    n = pairs.count()
+    pairs = pairs if bounded else settle(fitting(pairs, nodes.select("node", "n", "point"), percent), "jaccard-fitting", rows=n)
+    ends = settle(pairs.select(F.explode(F.array("a", "b")).alias("_node")).distinct(), "jaccard-ends", rows=2 * n)
     sets = sets_of(docs, settle(nodes.join(ends, F.col("node") == F.col("_node")).select("node", "d0", "d1"), "jaccard-wanted"), text_col, shingle)
-    pairs = settle(fitting(pairs, settle(fine_points(sets), "jaccard-fine"), percent), "jaccard-close")
+    pairs = settle(fitting(pairs, settle(fine_points(sets), "jaccard-fine"), percent), "jaccard-close", rows=n)
     half = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b")
     both = half.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a")
     shared = F.size(F.array_intersect("of_a", "of_b"))
     union = F.size("of_a") + F.size("of_b") - shared
-    links = settle(both.filter(100 * shared >= percent * union).select("a", "b"), "jaccard-links")
+    links = settle(both.filter(100 * shared >= percent * union).select("a", "b"), "jaccard-links", rows=n)
     drop(sets)
     return links
 
@@ -504,7 +505,7 @@ def linked(
     members = _members(nodes)
 
     def roots_of(links: DataFrame, label: str) -> DataFrame:
-        return settle(components(links).select(F.col("node").alias("_node"), "root"), label)
+        return settle(components(links, links.count()).select(F.col("node").alias("_node"), "root"), label)
 
     stars = members.filter("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     if known is not None:
@@ -512,7 +513,7 @@ def linked(
         ends = [roots.select(F.col("_node").alias(f"_{e}"), F.col("root").alias(f"root_{e}")) for e in "ab"]
         joined = stars.join(ends[0], F.col("a") == F.col("_a"), "left").join(ends[1], F.col("b") == F.col("_b"), "left")
         stars = joined.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-    links = verified(settle(stars, "jaccard-stars"), nodes, docs, text_col, shingle, percent)
+    links = verified(settle(stars, "jaccard-stars", rows=members.count()), nodes, docs, text_col, shingle, percent)
     links = links if known is None else links.unionByName(known)
     labels = roots_of(links, "jaccard-roots")
     labelled = members.join(labels, F.col("node") == F.col("_node"), "left").select("key", "node", F.coalesce("root", "node").alias("label"))
@@ -524,7 +525,8 @@ def linked(
     apart = settle(apart.join(points, F.col("node") == F.col("_node")).select("key", "node", "n", "label", "point"), "jaccard-open")
     pairs = settle(searched(apart, percent, block_bytes).distinct(), "jaccard-pairs")
     more = verified(pairs, nodes, docs, text_col, shingle, percent, bounded=True)
-    return components(links.unionByName(more))
+    links = links.unionByName(more)
+    return components(links, links.count())
 
 
 def sets_and_nodes(

@@ -325,5 +325,5 @@ def drop_near_copies(
     known = jaccard.verified(near, nodes, docs, text_col, shingle, percent)
     grouped = jaccard.named_groups(rows, nodes, jaccard.linked(docs, nodes, text_col, shingle, percent, known=known))
     gone = grouped.filter((F.col("n") > 0) & ~F.col("id").eqNullSafe(F.col("component_id")))
-    gone = settle(gone.select(F.col("id").alias("_gone")).distinct(), "near-copies")
+    gone = settle(gone.select(F.col("id").alias("_gone")).distinct(), "near-copies", rows=rows.count())
     return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import math
+import os
 import random
 
 import numpy as np
@@ -12,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from panelspark.llm import brown, components, decontaminate, exact, jaccard, langid, licenses, packing, repeats, simhash, tokencount, toxicity
+from panelspark.llm import brown, components, decontaminate, exact, jaccard, langid, licenses, packing, repeats, simhash, store, tokencount, toxicity
 from panelspark.llm.queries import tokenizer_path
 from panelspark.shipping import ship
 from panelspark.tables import shared_dir
@@ -57,6 +58,42 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.fixture
+def many_tasks(spark):
+    """Shuffles into many partitions that Spark does not merge."""
+    held = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def files_by_label(spark, before=frozenset()):
+    """Parquet files of each settled table that is not in ``before``."""
+    base = os.path.dirname(shared_dir(spark, "x")).removeprefix("file:")
+    return {d: len([f for f in os.listdir(f"{base}/{d}") if f.endswith(".parquet")]) for d in os.listdir(base) if d not in before and os.path.isdir(f"{base}/{d}")}
+
+
+@pytest.mark.parametrize("file_rows", [10, 1 << 16])
+def test_small_links_are_not_dealt_out(spark, many_tasks, monkeypatch, file_rows):
+    # Before, each round and each short list of pairs was a file from each task.
+    monkeypatch.setattr(store, "FILE_ROWS", file_rows)
+    there = set(files_by_label(spark))
+    chains = [(1000 * k + i, 1000 * k + i + 1) for k in range(3) for i in range(20)]
+    got = components.components(spark.createDataFrame(chains, "a long, b long"), len(chains)).collect()
+    assert sorted(tuple(r) for r in got) == [(1000 * k + i, 1000 * k) for k in range(3) for i in range(21)]
+    w = [sentence(random.Random(k), 60) for k in range(8)]
+    rows = [(10 * k + j, text + " more" * j) for k, text in enumerate(w) for j in range(3)]
+    groups = jaccard.jaccard_groups(frame(spark, rows), percent=90).collect()
+    assert {r.doc_id: r.component_id for r in groups} == {i: i // 10 * 10 for i, _ in rows}
+    some = {d: n for d, n in files_by_label(spark, there).items() if d.startswith(("links", "small-star", "jaccard-ends", "jaccard-links", "jaccard-close", "jaccard-stars"))}
+    assert len(some) > 6
+    if file_rows > 10:
+        assert max(some.values()) == 1
+
+
 # Exact dedup
 
 
